@@ -16,12 +16,16 @@ from tessera.operators.search import Scorer, block_search, vector_scorer, within
 from tessera.session import work_path
 
 
-def mean_vectors(df: DataFrame, by: list[str], vec: str) -> DataFrame:
-    """Mean vector per group, one aggregate row per dimension (combined map-side)."""
-    long = df.select(*by, F.posexplode(vec).alias("dim", "v"))
-    mean = long.groupBy(*by, "dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    packed = mean.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("dim", "m"))).alias("p"))
-    return packed.select(*by, F.col("p.m").alias("vec"))
+def mean_vectors(df: DataFrame, by: list[str], vec: str, weight: str | None = None) -> DataFrame:
+    """Mean vector per group, one average per dimension: no row is multiplied, all combined map-side."""
+    first = df.select(F.size(vec)).first()
+    dim = first[0] if first else 0
+    value = lambda i: F.col(vec)[i].cast("double")
+    if weight is None:
+        means = [F.avg(value(i)).alias(f"m{i}") for i in range(dim)]
+    else:
+        means = [(F.sum(value(i) * F.col(weight)) / F.sum(weight)).alias(f"m{i}") for i in range(dim)]
+    return df.groupBy(*by).agg(*means).select(*by, F.array(*[F.col(f"m{i}") for i in range(dim)]).alias("vec"))
 
 
 def hashed_vectors(nodes: DataFrame, text: str, dim: int, out: str = "vec") -> DataFrame:

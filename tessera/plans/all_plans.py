@@ -1,4 +1,4 @@
 """Imports every query module and exposes the filled registry."""
 
-from tessera.plans import retrieval_plans, similarity_plans  # noqa: F401
+from tessera.plans import retrieval_plans, similarity_plans, source_plans  # noqa: F401
 from tessera.plans.registry import ORACLE, QUERIES  # noqa: F401

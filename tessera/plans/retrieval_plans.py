@@ -32,9 +32,9 @@ def r2_score_floor(t):
     return block_search(vector_nodes(t), _means(t), vector_scorer("cosine"), 6, ["vec_id"], ["vec"], floor=0.4)
 
 
-@query("r2_floor_bm25", BASE + bm25_cte(where="WHERE score >= 8.0") + "\nSELECT * FROM hits")
+@query("r2_floor_bm25", BASE + bm25_cte(where="WHERE score >= 55.0") + "\nSELECT * FROM hits")
 def r2_floor_bm25(t):
-    return bm25_search(line_words(t), passages(t), 5, KEYS, floor=8.0)
+    return bm25_search(line_words(t), passages(t), 5, KEYS, floor=55.0)
 
 
 @query("r3_several_keys", f"""WITH {MEANS},
@@ -229,7 +229,7 @@ def r17_partitioned_search(t):
 @query("r18_result_cache", BASE + bm25_cte(k=3) + """
 SELECT qid, doc_id, pos, score, rk FROM hits""")
 def r18_result_cache(t):
-    """English-like half of the passages is answered first; the second run searches the rest only."""
+    """Long passages are answered first; the second run searches only the others."""
     nodes, queries = line_words(t), passages(t)
     cache = rt.ResultCache(t.spark)
     search = lambda q: bm25_search(nodes, q, 3, KEYS)
