@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 GAP = "[ \t\n\r\f]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Lower-case words between blanks."""
     return F.filter(F.split(F.lower(text), GAP), lambda w: w != "")
@@ -58,13 +65,14 @@ def windows(text: Column, size: int, overlap: int, unit: str = "char") -> Column
         raise ValueError("overlap must be at least 0 and below size")
     step = size - overlap
     if unit == "word":
-        items = words(text)
-        n = F.size(items)
-        cut = lambda i: F.array_join(F.slice(items, i + 1, F.lit(size)), " ")
-    else:
-        n = F.length(text)
-        cut = lambda i: F.substring(text, i + 1, F.lit(size))
-    chunks = F.transform(F.sequence(F.lit(0), n - 1, F.lit(step)), cut)
+        def cut(items: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.size(items) - 1, F.lit(step))
+            chunks = F.transform(starts, lambda i: F.array_join(F.slice(items, i + 1, F.lit(size)), " "))
+            return F.when(F.size(items) > 0, chunks).otherwise(F.array().cast("array<string>"))
+
+        return let(words(text), cut)
+    n = F.length(text)
+    chunks = F.transform(F.sequence(F.lit(0), n - 1, F.lit(step)), lambda i: F.substring(text, i + 1, F.lit(size)))
     return F.when(n > 0, chunks).otherwise(F.array().cast("array<string>"))
 
 
@@ -72,18 +80,27 @@ def nested_pieces(text: Column, delimiters: list[str], size: int) -> Column:
     """Split by the first delimiter; parts above ``size`` characters by the next, and so on."""
     parts = pieces(text, delimiters[0])
     for delimiter in delimiters[1:]:
-        parts = F.flatten(F.transform(parts, lambda p, d=delimiter: F.when(
-            F.length(p) > size, pieces(p, d)).otherwise(F.array(p))))
+        parts = F.flatten(F.transform(parts, _resplit(delimiter, size)))
     return parts
 
 
+def _resplit(delimiter: str, size: int) -> Callable[[Column], Column]:
+    return lambda p: F.when(F.length(p) > size, pieces(p, delimiter)).otherwise(F.array(p))
+
+
 def joined_runs(items: Column, starts: Column, separator: str) -> Column:
     """Join neighbouring items; ``starts`` lists the 0-based positions where a run begins."""
-    def run(start: Column, i: Column) -> Column:
-        end = F.coalesce(F.get(starts, i + 1), F.size(items))
-        return F.array_join(F.slice(items, start + 1, end - start), separator)
+    return F.transform(runs(items, starts), lambda run: F.array_join(run, separator))
 
-    return F.transform(starts, run)
+
+def runs(items: Column, starts: Column) -> Column:
+    """Cut an array into the runs that begin at the 0-based ``starts``."""
+    def cut(pair: Column) -> Column:
+        i, s = pair["items"], pair["starts"]
+        return F.transform(s, lambda start, no: F.slice(
+            i, start + 1, F.coalesce(F.get(s, no + 1), F.size(i)) - start))
+
+    return let(F.struct(items.alias("items"), starts.alias("starts")), cut)
 
 
 def positions(items: Column) -> Column:
@@ -94,10 +111,16 @@ def positions(items: Column) -> Column:
 
 def word_cosine(a: Column, b: Column) -> Column:
     """Cosine of the 0/1 word vectors of two texts."""
-    wa, wb = F.array_distinct(words(a)), F.array_distinct(words(b))
-    shared = F.size(F.array_intersect(wa, wb))
-    norm = F.sqrt(F.size(wa).cast("double") * F.size(wb))
-    return F.when(norm > 0, shared / norm).otherwise(F.lit(0.0))
+    return set_cosine(F.array_distinct(words(a)), F.array_distinct(words(b)))
+
+
+def set_cosine(a: Column, b: Column) -> Column:
+    """Cosine of the 0/1 vectors of two arrays without duplicates."""
+    def cosine(p: Column) -> Column:
+        norm = F.sqrt(F.size(p["a"]).cast("double") * F.size(p["b"]))
+        return F.when(norm > 0, F.size(F.array_intersect(p["a"], p["b"])) / norm).otherwise(F.lit(0.0))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), cosine)
 
 
 def filled(template: Column, slots: dict[str, Column]) -> Column:

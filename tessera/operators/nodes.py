@@ -81,11 +81,22 @@ def root_nodes(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select("doc_id", F.lit("root").alias("grp"), F.lit(0).alias("pos"), F.col(text).alias("content"))
 
 
-def semantic_chunks(items: Column, threshold: float, similarity=tx.word_cosine, separator: str = " ") -> Column:
-    """Join neighbours while their similarity reaches the threshold."""
-    starts = F.filter(tx.positions(items), lambda i: (i == 0) | (
-        similarity(F.get(items, i - 1), F.get(items, i)) < threshold))
-    return tx.joined_runs(items, starts, separator)
+def semantic_chunks(items: Column, threshold: float, separator: str = " ",
+                    vectors: Callable[[Column], Column] | None = None,
+                    similarity: Callable[[Column, Column], Column] = tx.set_cosine) -> Column:
+    """Join neighbours while the similarity of their vectors reaches the threshold.
+
+    ``vectors`` gives one vector per item; without it an item stands for its set of words.
+    """
+    vectors = vectors or (lambda i: F.transform(i, lambda s: F.array_distinct(tx.words(s))))
+
+    def cut(pair: Column) -> Column:
+        vecs = pair["vecs"]
+        starts = F.filter(tx.positions(vecs), lambda i: (i == 0) | (
+            similarity(F.get(vecs, i - 1), F.get(vecs, i)) < threshold))
+        return tx.joined_runs(pair["items"], starts, separator)
+
+    return tx.let(items, lambda i: tx.let(F.struct(i.alias("items"), vectors(i).alias("vecs")), cut))
 
 
 def section_starts(blocks: Column, limit: int = 4096, gap: int = 2) -> Column:
@@ -93,6 +104,10 @@ def section_starts(blocks: Column, limit: int = 4096, gap: int = 2) -> Column:
 
     At every title, and where the text joined with a blank line would reach ``limit`` characters.
     """
+    return tx.let(blocks, lambda b: _section_starts(b, limit, gap))
+
+
+def _section_starts(blocks: Column, limit: int, gap: int) -> Column:
     zero = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("size"))
 
     def step(acc: Column, i: Column) -> Column:
@@ -108,8 +123,7 @@ def section_starts(blocks: Column, limit: int = 4096, gap: int = 2) -> Column:
 
 def section_runs(blocks: Column, starts: Column) -> Column:
     """The blocks of every section, as ``array<array<struct>>``."""
-    return F.transform(starts, lambda s, i: F.slice(
-        blocks, s + 1, F.coalesce(F.get(starts, i + 1), F.size(blocks)) - s))
+    return tx.runs(blocks, starts)
 
 
 def box_union(boxes: Column) -> Column:
@@ -130,8 +144,8 @@ def box_union(boxes: Column) -> Column:
 
 def neighbours(items: Column, separator: str = " ") -> Column:
     """Every item with the text before and after it."""
-    return F.transform(items, lambda c, i: F.concat_ws(
-        separator, F.when(i > 0, F.get(items, i - 1)), c, F.get(items, i + 1)))
+    return tx.let(items, lambda all_: F.transform(all_, lambda c, i: F.concat_ws(
+        separator, F.when(i > 0, F.get(all_, i - 1)), c, F.get(all_, i + 1))))
 
 
 def with_reference(content: Column, metadata: Column, key: str, label: str = "\nreference: ") -> Column:

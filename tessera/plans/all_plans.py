@@ -1,4 +1,5 @@
 """Imports every query module and exposes the filled registry."""
 
-from tessera.plans import retrieval_plans, similarity_plans, source_plans  # noqa: F401
+from tessera.plans import (  # noqa: F401
+    node_plans, retrieval_plans, similarity_plans, source_plans, vector_plans)
 from tessera.plans.registry import ORACLE, QUERIES  # noqa: F401
