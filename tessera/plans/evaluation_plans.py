@@ -141,7 +141,7 @@ def e10_report(t):
     return ev.report(scores, ["exact_score", "origin_score"])
 
 
-BOXES = """bx AS (SELECT l_orderkey, l_linenumber, 'so \\boxed{' || l_quantity::INTEGER || '}' || CASE WHEN l_returnflag = 'A' THEN ' or \\boxed{\\frac{1}{2}}'
+BOXES = """bx AS (SELECT l_orderkey, l_linenumber, l_tax, 'so \\boxed{' || l_quantity::INTEGER || '}' || CASE WHEN l_returnflag = 'A' THEN ' or \\boxed{\\frac{1}{2}}'
   WHEN l_returnflag = 'N' THEN ' again \\boxed{' || l_quantity::INTEGER || '}' ELSE '' END AS output,
   'steps' || chr(10) || '#### ' || (CASE WHEN l_linestatus = 'O' THEN l_quantity::INTEGER ELSE l_linenumber END) AS truth FROM lineitem)"""
 CORRECT = """(len(list_distinct(regexp_extract_all(output, 'boxed\\{((?:[^{}]|\\{[^{}]*\\})*)\\}', 1))) = 1
@@ -155,7 +155,7 @@ def boxed_rows(t):
     extra = (F.when(F.col("l_returnflag") == "A", F.lit(" or \\boxed{\\frac{1}{2}}"))
              .when(F.col("l_returnflag") == "N", F.concat(F.lit(" again "), box(q))).otherwise(""))
     truth = F.when(F.col("l_linestatus") == "O", q).otherwise(F.col("l_linenumber").cast("string"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.concat(F.lit("so "), box(q), extra).alias("output"),
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_tax", F.concat(F.lit("so "), box(q), extra).alias("output"),
                              F.concat(F.lit("steps\n#### "), truth).alias("truth"))
 
 
