@@ -52,7 +52,7 @@ def holders(docs: DataFrame, passages: DataFrame, doc_key: str = "doc_id", text:
     left = (docs.withColumn("_db", F.pmod(F.xxhash64(doc_key), F.lit(doc_blocks)))
             .withColumn("_pb", F.explode(F.sequence(F.lit(0), F.lit(passage_blocks - 1)))))
     right = (passages.withColumn("_pb", F.pmod(F.xxhash64(qid), F.lit(passage_blocks)).cast("int"))
-             .withColumn("_db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))).cast("bigint")))
+             .withColumn("_db", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1)).cast("array<bigint>"))))
 
     def meet(doc_block: pa.Table, passage_block: pa.Table) -> pa.Table:
         return _pairs(doc_block, passage_block[qid], _matcher_of(passage_block, qid), doc_key, qid)
