@@ -56,8 +56,8 @@ def embed(nodes: DataFrame, text: str, models: dict[str, object]) -> DataFrame:
 def missing_vectors(nodes: DataFrame, stored: DataFrame, text: str = "content") -> DataFrame:
     """Distinct texts without a stored vector: ``hash, content``."""
     texts = nodes.select(F.sha2(F.col(text), 256).alias("hash"), F.col(text).alias("content"))
-    return (texts.join(stored.select("hash"), "hash", "left_anti")
-            .groupBy("hash").agg(F.first("content").alias("content")))
+    distinct = texts.groupBy("hash").agg(F.first("content").alias("content"))  # copies go map-side
+    return distinct.join(stored.select("hash"), "hash", "left_anti")
 
 
 def sparse_vectors(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
@@ -90,13 +90,13 @@ def nearest_centers(df: DataFrame, centers: np.ndarray, vec: str, n: int, out: s
 def write_cells(nodes: DataFrame, model: KMeansModel, keys: list[str], vec: str = "vec") -> str:
     """Store the nodes partitioned by cell.
 
-    Rows are spread over files by hash inside their cell, so a cell with a third of all rows
-    is many files and many read tasks.
+    The rebalance hint brings small cells together and splits large ones by size, so a cell with
+    a third of all rows is many files and many read tasks.
     """
     path = work_path(nodes.sparkSession, "cells")
     centers = np.array(model.clusterCenters())
     placed = nearest_centers(nodes.select(*keys, F.col(vec).alias("vec")), centers, "vec", 1, "near")
-    (placed.withColumn("cell", F.col("near")[0]).drop("near")
+    (placed.withColumn("cell", F.col("near")[0]).drop("near").hint("rebalance", F.col("cell"))
      .write.partitionBy("cell").parquet(path))
     return path
 

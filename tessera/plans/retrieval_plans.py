@@ -13,6 +13,7 @@ from tessera.plans.common import (KEYS, LINE_WORDS, LINES, MEANS, PASSAGES, WORD
                                   passages, ranked, vector_nodes)
 from tessera.plans.registry import query
 from tessera.plans.similarity_plans import CHARS
+from tessera.session import cut
 
 COS = "sc AS (SELECT mv.label AS qid, vec_id, round(list_cosine_similarity(vec, embedding::DOUBLE[]), 6) AS score FROM mv, embeddings {0})"
 BASE = f"WITH {LINE_WORDS},\n{PASSAGES},\n"
@@ -210,7 +211,7 @@ SELECT term, count(*) AS df, sum(tf)::BIGINT AS total FROM tm WHERE doc_id NOT I
 def r16_index_delta(t):
     """French documents arrive later and toxic ones leave; equals an index built from what is left."""
     docs = t.documents.select("doc_id", "lang", tx.words(F.col("text")).alias("words"))
-    old = rt.postings(docs.filter("lang <> 'fr'"), ["doc_id"])
+    old = cut(rt.postings(docs.filter("lang <> 'fr'"), ["doc_id"]))  # the stored index
     added = rt.postings(docs.filter("lang = 'fr'").join(t.labels.filter("toxic = 1"), "doc_id", "left_anti"), ["doc_id"])
     removed = t.labels.filter("toxic = 1").select("doc_id")
     index, df = rt.updated_index(old, rt.document_frequency(old), added, removed, ["doc_id"])

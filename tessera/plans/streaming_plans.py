@@ -44,10 +44,14 @@ def x2_live_questions(t):
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def x3_session_state(t):
     key = "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(key)
     t.spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     out, cp = work_path(t.spark, "sessions"), work_path(t.spark, "cp")
-    live.session_stream(_stream(t, "conversations")).writeStream.format("parquet").option("checkpointLocation", cp).trigger(
-        availableNow=True).start(out).awaitTermination()
+    try:
+        live.session_stream(_stream(t, "conversations")).writeStream.format("parquet").option("checkpointLocation", cp).trigger(
+            availableNow=True).start(out).awaitTermination()
+    finally:
+        t.spark.conf.set(key, before)
     return t.spark.read.parquet(out)
 
 

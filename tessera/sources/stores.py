@@ -56,7 +56,7 @@ class VectorCollection:
         """Rows of another dimension fail the job."""
         checked = df.withColumn(vec, F.when(F.size(vec) == self.dim, F.col(vec)).otherwise(
             F.raise_error(F.lit(f"vector is not of dimension {self.dim}"))))
-        checked.write.mode("append").partitionBy(self.field).parquet(self.path)
+        checked.hint("rebalance", F.col(self.field)).write.mode("append").partitionBy(self.field).parquet(self.path)
 
     def search_space(self, where: str | None = None, output_fields: list[str] | None = None) -> DataFrame:
         rows = self.spark.read.parquet(self.path)
@@ -73,9 +73,9 @@ class Snapshot:
     def refresh(self, nodes: DataFrame, compute, text: str = "content") -> DataFrame:
         """``hash`` plus what ``compute(content) -> Column`` gives; ``run`` tells when it was made."""
         texts = nodes.select(F.sha2(text, 256).alias("hash"), F.col(text).alias("content"))
+        fresh = texts.groupBy("hash").agg(F.first("content").alias("content"))  # copies go map-side
         if self.runs:
-            texts = texts.join(self.read().select("hash"), "hash", "left_anti")
-        fresh = texts.groupBy("hash").agg(F.first("content").alias("content"))
+            fresh = fresh.join(self.read().select("hash"), "hash", "left_anti")
         (fresh.select("hash", compute(F.col("content")).alias("value"), F.lit(self.runs).alias("run"))
          .write.mode("append").parquet(self.path))
         self.runs += 1

@@ -29,14 +29,17 @@ class LiveIndex:
     """Nodes of arriving documents, one folder per batch.
 
     A batch writes its own folder and overwrites it when it is run again, so a retry changes
-    nothing. A document that comes again replaces its older nodes (the highest batch wins).
+    nothing. A document that comes again replaces its older nodes (the highest batch wins); of
+    two in one batch the higher ``version`` wins, then the larger row.
     """
 
     def __init__(self, spark: SparkSession, nodes_of: Callable[[DataFrame], DataFrame], path: str | None = None):
         self.spark, self.nodes_of, self.path = spark, nodes_of, path or work_path(spark, "live-index")
 
     def take(self, docs: DataFrame, batch_id: int) -> None:
-        fresh = docs.dropDuplicates(["doc_id"])
+        rest = [c for c in docs.columns if c != "doc_id"]
+        rest.sort(key=lambda c: c != "version")
+        fresh = docs.groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("f")).select("doc_id", "f.*")
         self.nodes_of(fresh).write.mode("overwrite").parquet(f"{self.path}/nodes/batch={batch_id}")
         fresh.select("doc_id").write.mode("overwrite").parquet(f"{self.path}/docs/batch={batch_id}")
 
