@@ -79,21 +79,34 @@ def _links(t):
     return gr.links(_chunks_df(t), ("lang",))
 
 
-def _relations(t):
-    return _links(t).groupBy("src", "tgt").agg(F.count("*").alias("weight"))
+class _Stored:
+    """The graph tables of one query, written once: the texts are read twice however often they are used."""
 
+    def __init__(self, t):
+        chunks = _chunks_df(t)
+        self.mentions = cut(gr.mentions(chunks))
+        self.links = cut(gr.links(chunks))
+        self.relations = cut(self.links.groupBy("src", "tgt").agg(F.count("*").alias("weight")))
+        self.entities = cut(self.mentions.select("name").distinct())
+        self.queries = passages(t)
 
-def _entities(t):
-    return gr.mentions(_chunks_df(t)).select("name").distinct()
+    def seeds(self):
+        return gr.query_entities(self.queries, self.entities)
+
+    def high(self, k=60):
+        words = F.array(F.lower("src"), F.lower("tgt")).alias("words")
+        return bm25_search(self.relations.select("src", "tgt", words), self.queries, k, ["src", "tgt"])
 
+    def edges(self):
+        return self.relations.filter("src <> tgt")
 
-def _seeds(t):
-    return gr.query_entities(passages(t), _entities(t))
+
+def _relations(t):
+    return _links(t).groupBy("src", "tgt").agg(F.count("*").alias("weight"))
 
 
-def _high(t, k=60):
-    words = F.array(F.lower("src"), F.lower("tgt")).alias("words")
-    return bm25_search(_relations(t).select("src", "tgt", words), passages(t), k, ["src", "tgt"])
+def _entities(t):
+    return gr.mentions(_chunks_df(t)).select("name").distinct()
 
 
 # ---- extraction and merging --------------------------------------------------------------------
@@ -171,20 +184,22 @@ def g5_isolated(t):
 
 @query("g6_low_level", f"{BASE}, {SEEDS}, {_low(60)}, {_chunks('lo', 20, 'co')} SELECT * FROM co")
 def g6_low_level(t):
-    hits = gr.low_level(_seeds(t), _relations(t))
-    return gr.chunks_of(hits, _links(t), 20)
+    g = _Stored(t)
+    return gr.chunks_of(cut(gr.low_level(g.seeds(), g.relations)), g.links, 20)
 
 
 @query("g6_relations", f"{BASE}, {SEEDS}, {_low(60)} SELECT qid, src, tgt, score, rk FROM lo")
 def g6_relations(t):
-    return gr.low_level(_seeds(t), _relations(t))
+    g = _Stored(t)
+    return gr.low_level(g.seeds(), g.relations)
 
 
 @query("g7_high_level", f"{BASE}, {HIGH}, {_ends('hi', 'en')}, {_chunks('hi', 20, 'ch')} SELECT qid, 'entity' AS kind, name AS item, rk FROM en UNION ALL SELECT qid, 'chunk', doc_id || ':' || pos, rk FROM ch")
 def g7_high_level(t):
-    hits = cut(_high(t))
+    g = _Stored(t)
+    hits = cut(g.high())
     ends = gr.ends_of(hits).select("qid", F.lit("entity").alias("kind"), F.col("name").alias("item"), "rk")
-    chunks = gr.chunks_of(hits, _links(t), 20).select("qid", F.lit("chunk").alias("kind"), F.concat_ws(":", "doc_id", "pos").alias("item"), "rk")
+    chunks = gr.chunks_of(hits, g.links, 20).select("qid", F.lit("chunk").alias("kind"), F.concat_ws(":", "doc_id", "pos").alias("item"), "rk")
     return ends.unionByName(chunks)
 
 
@@ -192,7 +207,8 @@ def g7_high_level(t):
 b AS (SELECT qid, doc_id, pos, rk, (sum(len(words)) OVER (PARTITION BY qid ORDER BY rk))::BIGINT AS used FROM ch JOIN n USING (doc_id, pos))
 SELECT * FROM b WHERE used <= 300""")
 def g8_budget(t):
-    chunks = gr.chunks_of(cut(_high(t)), _links(t), 20).join(line_words(t).select(*KEYS, "words"), KEYS)
+    g = _Stored(t)
+    chunks = gr.chunks_of(cut(g.high()), g.links, 20).join(line_words(t).select(*KEYS, "words"), KEYS)
     return gr.within_budget(chunks, F.size("words"), 300).select("qid", *KEYS, "rk", "used")
 
 
@@ -203,10 +219,10 @@ jc AS (SELECT qid, to_json(list({{'doc_id': doc_id, 'pos': pos}} ORDER BY rk))::
 
 
 def _context(t):
-    relations = _relations(t)
-    hits = cut(gr.low_level(_seeds(t), relations, 10))
-    ends = gr.ends_of(hits).join(gr.degrees(relations), "name")
-    chunks = gr.chunks_of(hits, _links(t), 5)
+    g = _Stored(t)
+    hits = cut(gr.low_level(g.seeds(), g.relations, 10))
+    ends = gr.ends_of(hits).join(gr.degrees(g.relations), "name")
+    chunks = gr.chunks_of(hits, g.links, 5)
     return (gr.json_list(ends, ["name", "degree"], "entities").join(gr.json_list(hits, ["src", "tgt", "score"], "relations"), "qid")
             .join(gr.json_list(chunks, ["doc_id", "pos"], "chunks"), "qid"))
 
@@ -253,21 +269,21 @@ def g12_communities(t):
 
 
 def _table(t):
-    edges = _edges(t)
-    members = cm.communities(edges, ROUNDS)
-    return members, cm.community_table(members, edges, gr.mentions(_chunks_df(t)), gr.degrees(_relations(t)), 10)
+    g = _Stored(t)
+    members = cm.communities(g.edges(), ROUNDS)
+    return cm.community_table(members, g.edges(), g.mentions, gr.degrees(g.relations), 10)
 
 
 @query("g13_community_table", f"{BASE_R}, {TABLE} SELECT * FROM ct")
 def g13_community_table(t):
-    return _table(t)[1]
+    return _table(t)
 
 
 @query("g14_global_search", f"""{BASE_R}, {TABLE}, cn AS (SELECT community, string_split(lower(summary), ' ') AS words FROM ct WHERE level = 1),
 {bm25_cte(n='cn', keys='community', k=5)} SELECT qid, community, score, rk FROM hits""")
 def g14_global_search(t):
     """Community summaries of level 1 scored per query; those that share no word drop out."""
-    nodes = cut(_table(t)[1].filter("level = 1").select("community", tx.words(F.col("summary")).alias("words")))
+    nodes = cut(_table(t).filter("level = 1").select("community", tx.words(F.col("summary")).alias("words")))
     return bm25_search(nodes, passages(t), 5, ["community"])
 
 
@@ -281,13 +297,14 @@ rk AS (SELECT qid, kind, item, tokens, row_number() OVER (PARTITION BY qid ORDER
 us AS (SELECT qid, kind, item, rk, (sum(tokens) OVER (PARTITION BY qid ORDER BY rk))::BIGINT AS used FROM rk)
 SELECT * FROM us WHERE used <= 400""")
 def g15_local_search(t):
-    seeds = cut(_seeds(t))
-    hits = cut(gr.low_level(seeds, _relations(t), 20))
+    g = _Stored(t)
+    seeds = cut(g.seeds())
+    hits = cut(gr.low_level(seeds, g.relations, 20))
     item = lambda df, kind, c, prio, o, tokens: df.select(
         "qid", F.lit(kind).alias("kind"), c.alias("item"), F.lit(prio).alias("prio"), o.cast("int").alias("o"), tokens.cast("int").alias("tokens"))
     linked = gr.ends_of(hits).join(seeds.select("qid", "name"), ["qid", "name"], "left_anti")
-    chunks = gr.chunks_of(hits, _links(t), 10).join(line_words(t).select(*KEYS, "words"), KEYS)
-    members = cm.communities(_edges(t), ROUNDS).filter("level = 1").withColumnRenamed("node", "name")
+    chunks = gr.chunks_of(hits, g.links, 10).join(line_words(t).select(*KEYS, "words"), KEYS)
+    members = cm.communities(g.edges(), ROUNDS).filter("level = 1").withColumnRenamed("node", "name")
     around = seeds.join(members, "name").select("qid", "community").distinct()
     one = F.lit(1)
     items = (item(seeds, "entity", F.col("name"), 0, F.col("at"), one)
@@ -324,8 +341,9 @@ u AS (SELECT qid, src, tgt, min(rk) AS best FROM (SELECT qid, src, tgt, rk FROM
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY best, src, tgt)::INTEGER AS rk FROM u)
 SELECT qid, src, tgt, rk, rk * 2::BIGINT AS used FROM r WHERE rk * 2 <= 100""")
 def g17_hybrid_graph(t):
-    low = gr.low_level(_seeds(t), _relations(t)).select("qid", "src", "tgt", "rk")
-    both = low.unionByName(_high(t).select("qid", "src", "tgt", "rk")).groupBy("qid", "src", "tgt").agg(F.min("rk").alias("best"))
+    g = _Stored(t)
+    low = gr.low_level(g.seeds(), g.relations).select("qid", "src", "tgt", "rk")
+    both = low.unionByName(g.high().select("qid", "src", "tgt", "rk")).groupBy("qid", "src", "tgt").agg(F.min("rk").alias("best"))
     ranked = both.withColumn("rk", F.row_number().over(W.partitionBy("qid").orderBy("best", "src", "tgt")))
     return gr.within_budget(ranked, F.lit(2), 100).select("qid", "src", "tgt", "rk", "used")
 
@@ -336,9 +354,10 @@ rr AS (SELECT least(a.key, b.key) AS src, greatest(a.key, b.key) AS tgt, weight
 SELECT src, tgt, sum(weight)::BIGINT AS weight FROM rr GROUP BY src, tgt""")
 def g18_aliases(t):
     """Names that differ in a plural ending are one entity."""
-    edges = gr.alias_edges(_entities(t), F.regexp_replace("name", "(s|en|e)$", ""))
+    g = _Stored(t)
+    edges = gr.alias_edges(g.entities, F.regexp_replace("name", "(s|en|e)$", ""))
     keys = cm.connected_components(edges).select(F.col("node").alias("name"), F.col("component").alias("key"))
-    merged = gr.renamed(_relations(t), keys, ["src", "tgt"]).filter("src <> tgt")
+    merged = gr.renamed(g.relations, keys, ["src", "tgt"]).filter("src <> tgt")
     return (merged.select(F.least("src", "tgt").alias("src"), F.greatest("src", "tgt").alias("tgt"), "weight")
             .groupBy("src", "tgt").agg(F.sum("weight").alias("weight")))
 

@@ -52,6 +52,22 @@ def r3_several_keys(t):
     return rt.merge_keys([full_hits, front_hits], 6, ["vec_id"])
 
 
+@query("r2_floor_per_key", f"""WITH {MEANS},
+a AS (SELECT mv.label AS qid, vec_id, round(list_cosine_similarity(vec, embedding::DOUBLE[]), 6) AS score FROM mv, embeddings),
+b AS (SELECT mv.label AS qid, vec_id, round(list_cosine_similarity(vec[1:32], embedding[1:32]::DOUBLE[]), 6) AS score FROM mv, embeddings),
+af AS (SELECT * FROM a WHERE score >= 0.35), bf AS (SELECT * FROM b WHERE score >= 0.45),
+u AS (SELECT qid, vec_id, score FROM ({ranked('af', 6)}) UNION ALL SELECT qid, vec_id, score FROM ({ranked('bf', 6)})),
+sc AS (SELECT qid, vec_id, max(score) AS score FROM u GROUP BY ALL)
+{ranked('sc', 6)}""")
+def r2_floor_per_key(t):
+    """One floor per embedding key, applied before the shared top-k."""
+    floors = {"full": 0.35, "front": 0.45}
+    views = {"full": lambda df: df, "front": lambda df: df.withColumn("vec", F.slice("vec", 1, 32))}
+    hits = [block_search(view(vector_nodes(t)), view(_means(t)), vector_scorer("cosine"), 6, ["vec_id"], ["vec"], floor=floors[key])
+            for key, view in views.items()]
+    return rt.merge_keys(hits, 6, ["vec_id"])
+
+
 @query("r4_metadata_filter", BASE.replace("FROM documents)", "FROM documents WHERE lang IN ('en', 'de') AND source IN ('src1', 'src2', 'src3'))")
        + bm25_cte() + "\nSELECT * FROM hits")
 def r4_metadata_filter(t):
