@@ -114,6 +114,20 @@ def word_cosine(a: Column, b: Column) -> Column:
     return set_cosine(F.array_distinct(words(a)), F.array_distinct(words(b)))
 
 
+def word_counts(items: Column) -> Column:
+    """``array<struct<term, tf>>``: sorted words by their runs, so counting needs no shuffle."""
+    def count(p: Column) -> Column:
+        return F.transform(p["starts"], lambda s, i: F.struct(
+            F.get(p["sorted"], s).alias("term"),
+            (F.coalesce(F.get(p["starts"], i + 1), F.size(p["sorted"])) - s).cast("bigint").alias("tf")))
+
+    def mark(words_: Column) -> Column:
+        starts = F.filter(positions(words_), lambda i: (i == 0) | (F.get(words_, i) != F.get(words_, i - 1)))
+        return let(F.struct(words_.alias("sorted"), starts.alias("starts")), count)
+
+    return let(F.sort_array(items), mark)
+
+
 def set_cosine(a: Column, b: Column) -> Column:
     """Cosine of the 0/1 vectors of two arrays without duplicates."""
     def cosine(p: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.functions import text as tx
 from tessera.operators.search import top_k
 
 
@@ -17,8 +18,7 @@ def term_idf(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFra
 
 def keywords(nodes: DataFrame, keys: list[str], n: int, words: str = "words") -> DataFrame:
     """The ``n`` terms with the highest tf-idf per node, ties in order of the term."""
-    tf = (nodes.select(*keys, F.explode(words).alias("term")).groupBy(*keys, "term")
-          .agg(F.count("*").alias("tf")))
+    tf = nodes.select(*keys, F.inline(tx.word_counts(F.col(words))))
     scored = tf.join(term_idf(nodes, keys, words), "term").select(
         *keys, "term", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     return top_k(scored, keys, n, ["term"])
@@ -30,8 +30,7 @@ def summaries(docs: DataFrame, sentences: DataFrame, n: int, key: str = "doc_id"
     ``docs(key, words)`` gives the statistics, ``sentences(key, pos, content, words)`` the choice.
     """
     idf = term_idf(docs, [key])
-    terms = sentences.select(key, "pos", F.explode("words").alias("term"))
-    counted = terms.groupBy(key, "pos", "term").agg(F.count("*").alias("tf"))
+    counted = sentences.select(key, "pos", F.inline(tx.word_counts(F.col("words"))))
     scored = (counted.join(idf, "term").groupBy(key, "pos")
               .agg(F.round(F.sum(F.col("tf") * F.col("idf")) / F.sum("tf"), 6).alias("score")))
     best = top_k(scored, [key], n, ["pos"]).select(key, "pos").join(sentences.select(key, "pos", "content"), [key, "pos"])

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tessera.functions.text import word_counts
 from tessera.operators.search import top_k
 from tessera.session import work_path
 
@@ -107,8 +108,8 @@ def exact_lookup(queries: DataFrame, nodes: DataFrame, query_col: str, content:
 # ---- term index --------------------------------------------------------------------------------
 
 def postings(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
-    """``keys, term, tf``."""
-    return nodes.select(*keys, F.explode(words).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    """``keys, term, tf``; a node is one row, so its words are counted there."""
+    return nodes.select(*keys, F.inline(word_counts(F.col(words))))
 
 
 def document_frequency(index: DataFrame) -> DataFrame:

@@ -62,8 +62,7 @@ def missing_vectors(nodes: DataFrame, stored: DataFrame, text: str = "content")
 
 def sparse_vectors(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
     """Exploded TF-IDF rows ``keys, term, tf, w`` with idf ``ln(N / df)``."""
-    tf = (nodes.select(*keys, F.explode(words).alias("term")).groupBy(*keys, "term")
-          .agg(F.count("*").alias("tf")))
+    tf = nodes.select(*keys, F.inline(tx.word_counts(F.col(words))))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     n = nodes.agg(F.count("*").alias("n")).scalar()
     return tf.join(df, "term").select(*keys, "term", "tf", (F.col("tf") * F.log(n / F.col("df"))).alias("w"))

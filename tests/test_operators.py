@@ -245,3 +245,13 @@ def test_session_state_over_batches(spark):
 def test_bounded_rows_and_shared_dir(spark):
     assert bounded_rows(spark.range(5), 4) is None and bounded_rows(spark.range(5), 5).num_rows == 5
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_word_counts(spark):
+    from collections import Counter
+
+    rows = [(["b", "a", "b", "b", "c"],), ([],), (["x"],), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "w array<string>").select(tx.word_counts(F.col("w"))).collect()]
+    for (words,), counts in zip(rows[:3], got):
+        assert {c["term"]: c["tf"] for c in counts} == Counter(words)
+    assert not got[3]
