@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, langid, licenses, lines, near, packing, warc
+from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, warc
 
 TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -111,3 +111,9 @@ link as (
 reach(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, l.b from reach r join link l on l.a = r.other)
 select d.doc_id, coalesce(any_value(s.n), 0)::bigint as n_shingles, min(r.other) as component_id, d.doc_id = min(r.other) as kept
 from documents d join reach r on r.doc_id = d.doc_id left join size s on s.doc_id = d.doc_id group by d.doc_id"""
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and test item it holds."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
