@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, warc
+from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, vectors, warc
 
 TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -117,3 +117,24 @@ from documents d join reach r on r.doc_id = d.doc_id left join size s on s.doc_i
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of document and test item it holds."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+ORACLE["op7_embeddings"] = """
+with recursive sound as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link as (
+  select a.vec_id as a, b.vec_id as b from sound a join sound b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(vec_id, other) as (select vec_id, vec_id from embeddings union select r.vec_id, l.b from reach r join link l on l.a = r.other),
+degree as (select a as vec_id, count(*) as n from link group by 1),
+low as (select vec_id, min(other) as component_id from reach group by 1)
+select e.vec_id, coalesce(d.n, 0)::bigint as n_links, l.component_id, e.vec_id = l.component_id as kept
+from embeddings e join low l using (vec_id) left join degree d using (vec_id)"""
