@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, vectors, warc
+from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, substrings, vectors, warc
 
 TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -138,3 +138,9 @@ degree as (select a as vec_id, count(*) as n from link group by 1),
 low as (select vec_id, min(other) as component_id from reach group by 1)
 select e.vec_id, coalesce(d.n, 0)::bigint as n_links, l.component_id, e.vec_id = l.component_id as kept
 from embeddings e join low l using (vec_id) left join degree d using (vec_id)"""
+
+
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 100-byte strings."""
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
