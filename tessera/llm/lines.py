@@ -105,7 +105,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     first = cut(first.where("n > 1").select("__h1", "__h2", F.col("first.__uid").alias("first_uid"), F.col("first.at").alias("first_at")))
     later = cut(found.select("__uid", "at", "__h1", "__h2").join(first, ["__h1", "__h2"]).where("__uid <> first_uid or at <> first_at").select("__uid", "at"))
     covered = later.groupBy("__uid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + (window - 1)))))).alias("__covered"))
-    joined = base.drop("__h1", "__h2", "__key").join(covered, "__uid", "left").select(*plain, F.col("__lines").alias("n_lines"), "__text", "__covered")
+    # the same plan at every size
+    joined = base.drop("__h1", "__h2", "__key").join(covered.hint("merge"), "__uid", "left").select(*plain, F.col("__lines").alias("n_lines"), "__text", "__covered")
     schema = joined.select(*plain, "n_lines", "__text", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans")).schema
     order = [c if c != text else "__text" for c in docs.columns if c not in ("n_lines", "n_removed", "n_spans")]
     return joined.mapInArrow(_removed, schema).select(*order, "n_lines", "n_removed", "n_spans").withColumnRenamed("__text", text)
