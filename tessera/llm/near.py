@@ -20,12 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import hashing
 from tessera.llm.components import components
-from tessera.session import cut
+from tessera.llm.scratch import Scratch
 
 K = 64  # retained hashes
 SHORT = 12  # longer lists go by leaders
@@ -85,7 +86,9 @@ def _sketches(n: int, k: int):
                 index = np.repeat(bounds[:-1], kept) + np.arange(kept.sum()) - np.repeat(np.cumsum(kept) - kept, kept)
                 sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(h[index]))
                 part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_digest(h, bounds), pa.binary()), pa.array(sizes.astype(np.int64)), sketch],
+                body = pa.array([None if t is None else zstandard.compress(t.encode()) for t in part.column(at).to_pylist()], pa.binary())
+                columns = [body if i == at else part.column(i) for i in range(part.num_columns)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(_digest(h, bounds), pa.binary()), pa.array(sizes.astype(np.int64)), sketch],
                                                  names=[*part.schema.names, "__digest", "__size", "__sketch"])
 
     return work
@@ -107,12 +110,12 @@ def _estimate(a: Column, b: Column, k: int) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, n: int, threshold: float, k: int) -> DataFrame:
+def _verified(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, n: int, threshold: float, k: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     margin = SIGMAS * math.sqrt(threshold * (1 - threshold) / k)
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b") - 1e-9)
-    near = cut(near.where(_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= threshold - margin).select("a", "b"))
+    near = scratch.cut(near.where(_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= threshold - margin).select("a", "b"))
     body = lambda c: nodes.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,75 +132,95 @@ def _verified(pairs: DataFrame, nodes: DataFrame, n: int, threshold: float, k: i
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(good))
 
     texts = near.join(body("b"), "b").join(body("a"), "a").select("a", "b", "text_a", "text_b")
-    return cut(texts.mapInArrow(work, "a bigint, b bigint"))
+    return scratch.cut(texts.mapInArrow(work, "a bigint, b bigint"))
 
 
-def _set_of(text: str, n: int) -> np.ndarray:
-    data = np.frombuffer(text.encode(), np.uint8)
+def _set_of(body: bytes, n: int) -> np.ndarray:
+    data = np.frombuffer(zstandard.decompress(body), np.uint8)
     return shingle_hashes(data, np.array([0, len(data)]), n)[0]
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
+def _texts_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch.schema.get_field_index("__text")
+        texts = pa.array([None if b is None else zstandard.decompress(b).decode() for b in batch.column(at).to_pylist()], pa.string())
+        yield batch.set_column(at, "__text", texts)
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text", k: int = K, with_text: bool = True) -> DataFrame:
     """``docs`` with n_shingles, component_id, kept and first added (columns of these names are replaced).
 
     Documents are linked if the Jaccard similarity of their sets of n-word shingles reaches ``threshold``; components are
     what links join. component_id is the smallest key of the component, kept tells key = component_id, and ``first`` is
     true for exactly one row of each component. Texts without words (null, empty, blank) have an empty set, are linked with nothing and
     stay. Fewer than n words count as one shingle. Equal keys are separate rows of one key: both may be kept, one is
-    first. A null key comes after all others. Sets are compared whole, whatever the texts' length.
+    first. A null key comes after all others. Sets are compared whole, whatever the texts' length. Without ``with_text`` the
+    text column is left out.
     """
-    plain = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept", "first")]
+    scratch = Scratch(docs.sparkSession)
+    plain = [c for c in docs.columns if c not in (text, "n_shingles", "component_id", "kept", "first")]
     rows = docs.select(*plain, F.col(text).alias("__text"), F.monotonically_increasing_id().alias("__uid"))
-    schema = rows.withColumns({"__digest": F.lit(b""), "__size": F.lit(0).cast("long"), "__sketch": F.array(F.lit(0).cast("long"))}).schema
-    base = cut(rows.mapInArrow(_sketches(n, k), schema))
+    schema = rows.withColumns({"__text": F.lit(b""), "__digest": F.lit(b""), "__size": F.lit(0).cast("long"), "__sketch": F.array(F.lit(0).cast("long"))}).schema
+    for field in schema:
+        field.nullable = True
+    base = scratch.cut(rows.mapInArrow(_sketches(n, k), schema))
     lead = F.min(F.struct(F.col(key).isNull().alias("void"), F.col(key).alias("key"), F.col("__uid").alias("uid"))).alias("best")
     # a node per distinct set; texts follow for the row that stands for it
     best = base.where("__digest is not null").groupBy(F.col("__digest").alias("digest")).agg(lead)
-    best = cut(best.select("digest", "best", F.col("best.uid").alias("__uid")))
-    nodes = cut(base.select("__uid", F.col("__size").alias("size"), F.col("__sketch").alias("sketch"))
-                .join(best.select("__uid", "digest", "best"), "__uid").withColumnRenamed("__uid", "node"))
+    best = scratch.cut(best.select("digest", "best", F.col("best.uid").alias("node")))
+    nodes = scratch.cut(base.select(F.col("__uid").alias("node"), F.col("__size").alias("size"), F.col("__sketch").alias("sketch")).join(best.select("node"), "node"))
     values = nodes.select("node", F.explode("sketch").alias("value"))
-    shared = cut(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"))
+    shared = scratch.cut(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"))
     # values that no other node has are the rarest, and list nothing
-    mine = cut(values.join(shared, "value").select("node", "value", "df"))
-    mine = mine.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("common"))
+    mine = values.join(shared, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("common"))
     listed = mine.join(nodes.select("node", "size"), "node")
     room = _listed(F.col("size"), threshold, k) - (F.least("size", F.lit(k)) - F.size("common"))
-    listed = cut(listed.where(room > 0).select("node", F.explode(F.slice("common", F.lit(1), room.cast("int"))).alias("c")).select("node", F.col("c.value").alias("value")))
+    listed = listed.where(room > 0).select("node", F.explode(F.slice("common", F.lit(1), room.cast("int"))).alias("c"))
+    listed = scratch.cut(listed.select("node", F.col("c.value").alias("value")))
+    scratch.drop(shared)
     draws = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"d{i}") for i in range(LEADERS)]
-    lists = cut(listed.groupBy("value").agg(F.count("*").alias("length"), F.array_distinct(F.array(*[d["node"] for d in draws])).alias("leaders")).where("length > 1"))
-    entries = cut(listed.join(lists.select("value", (F.col("length") > SHORT).alias("long")), "value"))
+    lists = listed.groupBy("value").agg(F.count("*").alias("length"), *draws).where("length > 1")
+    lists = scratch.cut(lists.select("value", "length", F.array_distinct(F.array(*[F.col(f"d{i}.node") for i in range(LEADERS)])).alias("leaders")))
+    entries = scratch.cut(listed.join(lists.select("value", (F.col("length") > SHORT).alias("long")), "value"))
+    scratch.drop(listed)
     # short lists: all pairs; long ones: everyone with the leaders
     x, y = (entries.where("not long").select("value", F.col("node").alias(c)) for c in "ab")
     pairs = x.join(y, "value").where("a < b").select("a", "b")
     led = entries.where("long").join(lists.select("value", "leaders"), "value").select("node", F.explode("leaders").alias("leader")).where("node <> leader")
-    pairs = cut(pairs.unionByName(led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))).distinct())
+    pairs = scratch.cut(pairs.unionByName(led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))).distinct())
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(entries.where("long").select("node")).distinct()
-    small = cut(nodes.join(involved, "node").select("node", "size", "sketch"))
-    small = cut(small.join(base.select(F.col("__uid").alias("node"), F.col("__text").alias("text")), "node"))
-    links = _verified(pairs, small, n, threshold, k)
+    some = scratch.cut(nodes.join(involved, "node").select("node", "size", "sketch"))
+    scratch.drop(nodes)
+    # hints where texts are moved: the same plan at every size
+    small = scratch.cut(base.select(F.col("__uid").alias("node"), F.col("__text").alias("text")).join(some.hint("merge"), "node"))
+    links = _verified(scratch, pairs, small, n, threshold, k)
     roots = components(links)
     # what is still apart within a long list
-    apart = entries.where("long").select("value", "node").join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
-    apart = cut(apart)
-    mixed = apart.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("value")
-    apart = cut(apart.join(mixed, "value"))
-    # the component of most entries is one side of most pairs: count it out, so that no pair within it is made
+    apart = scratch.cut(entries.where("long").select("value", "node").join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root")))
+    # the component of most entries is on one side of most pairs; pairs within it are never made
     counts = apart.groupBy("value", "root").agg(F.count("*").alias("n"))
-    largest = cut(counts.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("largest")))
-    split = cut(apart.join(largest, "value").withColumn("rest", F.col("root") != F.col("largest")).drop("largest"))
+    largest = counts.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"))
+    largest = scratch.cut(largest.where("roots > 1").select("value", "largest"))
+    split = scratch.cut(apart.join(largest, "value").select("value", "node", "root", (F.col("root") != F.col("largest")).alias("rest")))
     p = split.where("rest").select("value", F.col("node").alias("p"), F.col("root").alias("p_root"))
     q = split.select("value", F.col("node").alias("q"), F.col("root").alias("q_root"), F.col("rest").alias("q_rest"))
     more = p.join(q, "value").where("p_root <> q_root and (not q_rest or p < q)")
-    more = cut(more.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    more = scratch.cut(more.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        links = links.unionByName(_verified(more, small, n, threshold, k))
+        links = links.unionByName(_verified(scratch, more, small, n, threshold, k))
         roots = components(links)
-    grouped = nodes.select("node", "digest", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = best.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = grouped.groupBy("root").agg(F.min("best").alias("head"))
-    heads = cut(grouped.select("digest", "root").join(heads, "root").select("digest", "head"))
-    made = base.join(heads, base["__digest"] == heads["digest"], "left")
+    heads = scratch.cut(grouped.select("digest", "root").join(heads, "root").select("digest", "head"))
+    scratch.drop(some, small)
+    carried = [*plain, *["__text"] * with_text]
+    made = base.select(*carried, "__uid", "__digest", "__size").join(heads.hint("merge"), base["__digest"] == heads["digest"], "left")
     empty = F.col("__digest").isNull()
     component = F.when(empty, F.col(key)).otherwise(F.col("head.key"))
-    return made.select(*plain, F.col("__size").alias("n_shingles"), component.alias("component_id"), F.col(key).eqNullSafe(component).alias("kept"),
+    made = made.select(*carried, F.col("__size").alias("n_shingles"), component.alias("component_id"), F.col(key).eqNullSafe(component).alias("kept"),
                        (empty | (F.col("head.uid") == F.col("__uid"))).alias("first"))
+    if not with_text:
+        return made
+    order = [c for c in docs.columns if c in plain or c == text]
+    back = made.mapInArrow(_texts_back, made.withColumn("__text", F.lit("").cast("string")).schema)
+    return back.withColumnRenamed("__text", text).select(*order, "n_shingles", "component_id", "kept", "first")
