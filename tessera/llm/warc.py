@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.scratch import Scratch
 from tessera.session import work_path
 
 CRLF = "\r\n"
@@ -60,24 +61,23 @@ def write_captures(pages: DataFrame, path: str, key: str = "page_id", url: str =
     out. Repeated rows are captures of their own. Other columns are ignored; an empty table makes an archive without
     records.
     """
-    spark = pages.sparkSession
+    scratch = Scratch(pages.sparkSession)
     # rows get their numbers once, in a table: all that follows agrees on them
-    numbered = work_path(spark, "captures")
-    (pages.select(F.col(key).cast("long").alias("key"), _one_line(F.col(url)).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
-     .select("*", F.monotonically_increasing_id().alias("uid"), F.octet_length("payload").cast("long").alias("bytes"),
-             F.sha2(body_of("payload"), 256).alias("same"), F.sha1(body_of("payload")).alias("sha1"))
-     .write.option("compression", "zstd").parquet(numbered))
-    rows = spark.read.parquet(numbered)
+    rows = scratch.cut(
+        pages.select(F.col(key).cast("long").alias("key"), _one_line(F.col(url)).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
+        .select("*", F.monotonically_increasing_id().alias("uid"), F.octet_length("payload").cast("long").alias("bytes"),
+                F.sha2(body_of("payload"), 256).alias("same"), F.sha1(body_of("payload")).alias("sha1")))
     # one row per payload after a map-side combine; pages with a payload of their own need no join
-    first = (rows.where(F.col("bytes") >= min_bytes).groupBy("same").agg(F.max(F.struct("key", "uid")).alias("best"), F.count("*").alias("n"))
-             .where("n > 1").select("same", F.col("best.uid").alias("first_uid")))
-    kept = work_path(spark, "first")
-    first.write.parquet(kept)
+    long_enough = rows.where(F.col("bytes") >= min_bytes)
+    first = long_enough.groupBy("same").agg(F.max(F.struct("key", "uid")).alias("best"), F.count("*").alias("n"))
+    first = scratch.cut(first.where("n > 1").select("same", F.col("best.uid").alias("first_uid")))
+    copies = scratch.cut(long_enough.select("uid", "same").join(first, "same").select("uid", "first_uid"))
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     files = max(1, -(-total // FILE_BYTES))
-    joined = rows.join(spark.read.parquet(kept), "same", "left")
-    (joined.select(F.explode(_records(min_bytes)).alias("value"), "uid").repartition(files, "uid").select("value")
-     .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path))
+    # payloads are shuffled once, into the archives
+    joined = rows.repartition(files, "uid").join(copies.repartition(files, "uid"), "uid", "left")
+    joined.select(F.explode(_records(min_bytes)).alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
+    scratch.drop(rows, first, copies)
 
 
 def body_of(name: str) -> Column:
