@@ -67,7 +67,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, on 2-word shingles."""
-    return near.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=2).drop("text", "first")
+    return near.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), n=2, with_text=False).drop("first")
 
 # Lines are trimmed of ASCII white space; blank ones are skipped.
 ORACLE["op5_lines"] = """

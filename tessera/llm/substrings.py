@@ -378,11 +378,12 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     heavy = repeated.where("uid is null").select("anchor", F.lit(True).alias("is_heavy"))
     wanted = repeated.where("uid is not null").join(heavy, "anchor", "left")
     wanted = wanted.groupBy("uid").agg(F.collect_set("anchor").alias("wanted"), F.collect_set(F.when(F.col("is_heavy"), F.col("anchor"))).alias("heavy"))
-    pieces = found.select("uid", "key", "body").join(wanted, "uid").mapInArrow(_pieces(buckets), PARTS_SQL)
+    # the hints keep the plan the same at every size
+    pieces = found.select("uid", "key", "body").join(wanted.hint("merge"), "uid").mapInArrow(_pieces(buckets), PARTS_SQL)
     later = pieces.groupBy("bucket").applyInArrow(_sorted_bucket, "uid bigint, start bigint, n bigint")
     # the two lists of a document stay aligned, as one list of pairs
     spans = later.groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     spans = spans.select("uid", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts"))
-    joined = base.join(cut(spans), "uid", "left").select("key", "body", "n_bytes", "digest", "starts", "counts")
+    joined = base.join(cut(spans).hint("merge"), "uid", "left").select("key", "body", "n_bytes", "digest", "starts", "counts")
     made = joined.mapInArrow(_finished(with_kept), "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_kept)
     return made.withColumnRenamed("key", key)
