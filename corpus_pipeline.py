@@ -14,25 +14,37 @@ from tessera.llm.queries import TOKENIZER
 from tessera.session import cut
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """doc_id and text; all other columns in one struct, where their names meet no operator's."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select("doc_id", "text", rest.alias("rest"))
+
+
+def _columns(docs: DataFrame, **changed) -> list:
+    """The columns of ``docs``, taken out of the struct again."""
+    return [F.col("text") if c == "text" else changed.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language. Those without text or without a single letter go; learned as in ``langid.identify``."""
     profiles = langid.train(docs.where(langid.fold() != 2))
-    found = langid.predict(docs, profiles, [F.col(c) for c in docs.columns])
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    found = langid.predict(_wrapped(docs), profiles, ["text", "rest"])
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(_columns(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that earlier ones have; a document that loses all its lines goes. ``n_chars`` follows the text."""
-    clean = lines.dedup_lines(docs).where("n_removed = 0 or n_removed < n_lines")
+    clean = lines.dedup_lines(_wrapped(docs)).where("n_removed = 0 or n_removed < n_lines")
+    changed = {}
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        clean = clean.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
-    return clean.select(docs.columns)
+        changed["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(F.col("rest").getField("n_chars"))
+    return clean.select(_columns(docs, **changed))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: 5-word shingles, Jaccard similarity of 0.8 or more."""
-    return near.near_duplicates(docs, n=5, threshold=0.8).where("first").select(docs.columns)
+    return near.near_duplicates(_wrapped(docs), n=5, threshold=0.8).where("first").select(_columns(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,6 +55,7 @@ class Items:
     ids: list
     words: list[np.ndarray]  # per chunk
     owner: np.ndarray  # item of each chunk
+    kind: pa.DataType  # of the ids
 
     @classmethod
     def of(cls, table: pa.Table) -> Items:
@@ -66,7 +67,7 @@ class Items:
                 words.append(h[start:start + CHUNK])
                 owner.append(len(ids))
             ids.append(row["item"])
-        return cls(ids, words, np.array(owner, np.int64))
+        return cls(ids, words, np.array(owner, np.int64), table.schema.field("item").type)
 
     def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, chunk, place) of all n-grams of the chunks."""
@@ -208,7 +209,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item:
                     if leaks:
                         row, number, score, first, last = zip(*leaks)
                         ids = [matcher.items.ids[i] for i in number]
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([start + r for r in row])), pa.array(ids), pa.array(score), pa.array(first, pa.int64()),
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([start + r for r in row])), pa.array(ids, matcher.items.kind), pa.array(score), pa.array(first, pa.int64()),
                                                           pa.array(last, pa.int64())], names=[key, "item", "score", "first_word", "last_word"])
 
         found = found.unionByName(docs.select(F.col(key), F.lower(F.col("text"))).mapInArrow(work, schema))

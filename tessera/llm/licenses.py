@@ -88,7 +88,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     A null, empty or wordless text has no words and no labels. Rows are kept as they come: repeated rows get equal
     results, ties between rules go to the better priority, then the longer match, then the earlier rule.
     """
-    kept = [F.col(c) for c in docs.columns]
+    kept = [F.col(f"`{c}`") for c in docs.columns]
     step = docs.select(*kept, normal_text(F.col(f"`{text}`")).alias("__normal"))
     spaced = F.replace(F.col("__normal"), F.lit(" "), F.lit("  "))
     # the ends have one blank more than a word needs
@@ -115,4 +115,4 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         "labels": F.array_join(F.array_sort(F.array_union(labels, F.col("__left")["labels"])), ","),
         "score": F.when(places > 0, F.lit(1.0)).otherwise(F.coalesce(rank_weight[F.col("__left")["best"]], F.lit(0.0))),
     }
-    return step.select(*[c for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    return step.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])

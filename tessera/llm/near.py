@@ -211,14 +211,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: st
         roots = components(links)
     grouped = best.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = grouped.groupBy("root").agg(F.min("best").alias("head"))
-    heads = scratch.cut(grouped.select("digest", "root").join(heads, "root").select("digest", "head"))
+    heads = scratch.cut(grouped.select("digest", "root").join(heads, "root").select(F.col("digest").alias("__of"), F.col("head").alias("__head")))
     scratch.drop(some, small)
     carried = [*plain, *["__text"] * with_text]
-    made = base.select(*carried, "__uid", "__digest", "__size").join(heads.hint("merge"), base["__digest"] == heads["digest"], "left")
+    made = base.select(*carried, "__uid", "__digest", "__size").join(heads.hint("merge"), F.col("__digest") == F.col("__of"), "left")
     empty = F.col("__digest").isNull()
-    component = F.when(empty, F.col(key)).otherwise(F.col("head.key"))
+    component = F.when(empty, F.col(key)).otherwise(F.col("__head.key"))
     made = made.select(*carried, F.col("__size").alias("n_shingles"), component.alias("component_id"), F.col(key).eqNullSafe(component).alias("kept"),
-                       (empty | (F.col("head.uid") == F.col("__uid"))).alias("first"))
+                       (empty | (F.col("__head.uid") == F.col("__uid"))).alias("first"))
     if not with_text:
         return made
     order = [c for c in docs.columns if c in plain or c == text]
