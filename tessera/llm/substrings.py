@@ -36,7 +36,7 @@ PREFIX = 32
 # A perfect difference set; every residue is a difference of two of them.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 CHUNK = 1 << 20  # bytes of text hashed at once
-BLOCK = 4 << 20  # bytes of pieces sorted at once
+BLOCK = 1 << 20  # bytes of pieces sorted at once
 BUCKET_BYTES = 32 << 20  # text per bucket
 # An anchor with more occurrences is dealt out suffix by suffix, so that its bucket stays small.
 HEAVY = 100_000
@@ -232,7 +232,7 @@ def _pieces(buckets: int):
                             piece = raw[a:b + LENGTH - 1]
                             held.setdefault((value, x - a, piece), []).append((*place, a + base))
                             size += len(piece)
-                if size > 16 << 20:
+                if size > 8 << 20:
                     yield from flush()
                     held, size = {}, 0
         yield from flush()
