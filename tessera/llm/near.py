@@ -8,9 +8,9 @@ A list need not hold every retained value of a node. If two sketches share at le
 rarest ``size - s + 1`` values of either, so only those are listed: a shingle that a third of all documents have is in no list unless
 a document has nothing rarer.
 
-A list of more than SHORT nodes is first compared with a few leaders, picked by hash. Only nodes that are still in
-different components are then compared with each other, so a group of thousands of near copies makes no square of pairs,
-and no link between components is missed.
+A list of more than SHORT nodes is first compared with a few leaders: its most central node, and some picked by hash. What
+stays apart from the rest of its list meets new leaders. Only nodes that are in different components after that are compared
+with each other, so a group of thousands of near copies makes no square of pairs, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ from tessera.llm.scratch import Scratch
 
 K = 64  # retained hashes
 SHORT = 12  # longer lists go by leaders
-LEADERS = 8
+LEADERS = 2
+TURNS = 4  # with leaders, before all that is still apart is compared
 SIGMAS = 4.5  # an estimate may fall short by so many standard deviations
 # Fixed value: what separates words.
 BLANK = hashing.separators(r"[\x20\x09-\x0D]")
@@ -147,6 +148,15 @@ def _texts_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "__text", texts)
 
 
+def _with_leaders(rows: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of ``rows`` with their lists' leaders: the most central of ``members``, and some drawn by hash anew each turn."""
+    draws = [F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)), "node")).alias(f"d{i}") for i in range(LEADERS)]
+    led = members.groupBy("value").agg(F.max_by("node", F.struct("central", "node")).alias("c"), *draws)
+    led = led.select("value", F.array_distinct(F.array("c", *[F.col(f"d{i}.node") for i in range(LEADERS)])).alias("leaders"))
+    met = rows.join(led, "value").select("node", F.explode("leaders").alias("leader")).where("node <> leader")
+    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text", k: int = K, with_text: bool = True) -> DataFrame:
     """``docs`` with n_shingles, component_id, kept and first added (columns of these names are replaced).
 
@@ -178,34 +188,44 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: st
     listed = listed.where(room > 0).select("node", F.explode(F.slice("common", F.lit(1), room.cast("int"))).alias("c"))
     listed = scratch.cut(listed.select("node", F.col("c.value").alias("value")))
     scratch.drop(shared)
-    draws = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"d{i}") for i in range(LEADERS)]
-    lists = listed.groupBy("value").agg(F.count("*").alias("length"), *draws).where("length > 1")
-    lists = scratch.cut(lists.select("value", "length", F.array_distinct(F.array(*[F.col(f"d{i}.node") for i in range(LEADERS)])).alias("leaders")))
-    entries = scratch.cut(listed.join(lists.select("value", (F.col("length") > SHORT).alias("long")), "value"))
+    lists = scratch.cut(listed.groupBy("value").agg(F.count("*").alias("length")).where("length > 1"))
+    entries = scratch.cut(listed.join(lists, "value"))
     scratch.drop(listed)
-    # short lists: all pairs; long ones: everyone with the leaders
-    x, y = (entries.where("not long").select("value", F.col("node").alias(c)) for c in "ab")
+    # short lists: all pairs
+    x, y = (entries.where(F.col("length") <= SHORT).select("value", F.col("node").alias(c)) for c in "ab")
     pairs = x.join(y, "value").where("a < b").select("a", "b")
-    led = entries.where("long").join(lists.select("value", "leaders"), "value").select("node", F.explode("leaders").alias("leader")).where("node <> leader")
-    pairs = scratch.cut(pairs.unionByName(led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))).distinct())
-    involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(entries.where("long").select("node")).distinct()
+    # long ones: the node that is in most and longest lists is what the others were copied from, as a rule
+    long = entries.where(F.col("length") > SHORT)
+    long = scratch.cut(long.join(long.groupBy("node").agg(F.sum("length").alias("central")), "node").select("value", "node", "central"))
+    pairs = scratch.cut(pairs.unionByName(_with_leaders(long, long, 0)).distinct())
+    involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(long.select("node")).distinct()
     some = scratch.cut(nodes.join(involved, "node").select("node", "size", "sketch"))
     scratch.drop(nodes)
     # hints where texts are moved: the same plan at every size
     small = scratch.cut(base.select(F.col("__uid").alias("node"), F.col("__text").alias("text")).join(some.hint("merge"), "node"))
     links = _verified(scratch, pairs, small, n, threshold, k)
-    roots = components(links)
-    # what is still apart within a long list
-    apart = scratch.cut(entries.where("long").select("value", "node").join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root")))
-    # the component of most entries is on one side of most pairs; pairs within it are never made
-    counts = apart.groupBy("value", "root").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"))
-    largest = scratch.cut(largest.where("roots > 1").select("value", "largest"))
-    split = scratch.cut(apart.join(largest, "value").select("value", "node", "root", (F.col("root") != F.col("largest")).alias("rest")))
-    p = split.where("rest").select("value", F.col("node").alias("p"), F.col("root").alias("p_root"))
-    q = split.select("value", F.col("node").alias("q"), F.col("root").alias("q_root"), F.col("rest").alias("q_rest"))
-    more = p.join(q, "value").where("p_root <> q_root and (not q_rest or p < q)")
-    more = scratch.cut(more.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    for turn in range(1, TURNS + 1):
+        roots = components(links)
+        apart = scratch.cut(long.join(roots, "node", "left").select("value", "node", "central", F.coalesce("root", "node").alias("root")))
+        # lists whose nodes are still in several components; most nodes are in the largest, and pairs within it are never made
+        counts = apart.groupBy("value", "root").agg(F.count("*").alias("n"))
+        largest = counts.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"))
+        split = apart.join(largest.where("roots > 1"), "value").select("value", "node", "central", "root", (F.col("root") != F.col("largest")).alias("rest"))
+        split = scratch.cut(split)
+        if split.isEmpty() or turn == TURNS:
+            break
+        new = scratch.cut(_with_leaders(split.where("rest"), split, turn).distinct().join(pairs, ["a", "b"], "left_anti"))
+        pairs = pairs.unionByName(new)
+        links = links.unionByName(_verified(scratch, new, small, n, threshold, k))
+    # what leaders have not joined: every pair of nodes of different components that shares enough of its sketches
+    least = F.least("size", F.lit(k)) - _listed(F.col("size"), threshold, k) + 1
+    full = scratch.cut(split.join(some, "node").select("value", "node", "root", "rest", "size", "sketch", least.alias("least")))
+    p, q = (full.select("value", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "rest", "size", "sketch", "least")]) for side in "pq")
+    apart = (F.col("p_root") != F.col("q_root")) & (~F.col("q_rest") | (F.col("p_node") < F.col("q_node")))
+    alike = (F.least("p_size", "q_size") >= threshold * F.greatest("p_size", "q_size") - 1e-9) & (F.size(F.array_intersect("p_sketch", "q_sketch")) >= F.least("p_least", "q_least"))
+    more = p.where("p_rest").join(q, (p["value"] == q["value"]) & apart & alike)
+    more = more.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")).distinct()
+    more = scratch.cut(more.join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         links = links.unionByName(_verified(scratch, more, small, n, threshold, k))
         roots = components(links)
@@ -222,5 +242,5 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: st
     if not with_text:
         return made
     order = [c for c in docs.columns if c in plain or c == text]
-    back = made.mapInArrow(_texts_back, made.withColumn("__text", F.lit("").cast("string")).schema)
+    back = made.mapInArrow(_texts_back, made.withColumn("__text", F.lit(None).cast("string")).schema)
     return back.withColumnRenamed("__text", text).select(*order, "n_shingles", "component_id", "kept", "first")
