@@ -51,7 +51,7 @@ class Prefix:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
 
 
-def text_slices(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of at most ``max_bytes`` together; nulls are empty.
 
     One longer text comes alone.

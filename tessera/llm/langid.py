@@ -23,7 +23,7 @@ DIM = 1024  # elements of a vector
 SEED = 20_241
 # Bundles of all languages travel with the tasks: 8 KB for each. More labels than this are no languages.
 MAX_LANGUAGES = 2_000
-CHARS, ROWS = 1 << 20, 512  # texts taken at once, to bound memory
+CHARS, ROWS = 1 << 19, 256  # texts taken at once, to bound memory
 UNKNOWN = "und"
 
 
