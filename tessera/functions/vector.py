@@ -56,14 +56,17 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def sign_bits(a: Column) -> Column:
-    """Signs of up to 64 values packed into one bigint."""
-    bits = F.transform(a, lambda x, i: F.when(x >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
+    """Signs of any number of values: one bigint per 64 of them."""
+    bits = F.transform(a, lambda x, i: F.when(x >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i % 64))
                        .otherwise(F.lit(0).cast("bigint")))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b))
+    words = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / 64).cast("int")), lambda w: F.slice(bits, w * 64 + 1, F.lit(64)))
+    return F.transform(words, lambda word: F.aggregate(word, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b)))
 
 
 def hamming(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+    """Differing signs of two ``sign_bits`` columns."""
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda acc, n: acc + n)
 
 
 def sparse_dot(a: Column, b: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover
+from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions.text import words
@@ -29,6 +29,10 @@ class SqlTables:
         return self.spark.sql(sql).select(F.to_json(F.struct("*")).alias("record"))
 
 
+# Width of the hashed term vectors.
+HASHED_TERMS = 1 << 18
+
+
 def most_frequent(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(n)
 
@@ -69,7 +73,7 @@ def title_clusters(titles: DataFrame, key: str, title: str, k: int = 5, seed: in
     """TF-IDF without stop words, k-means: ``cluster, size, examples``."""
     tokens = titles.select(key, title, words(F.col(title)).alias("tokens"))
     clean = StopWordsRemover(inputCol="tokens", outputCol="kept").transform(tokens)
-    counts = CountVectorizer(inputCol="kept", outputCol="tf").fit(clean).transform(clean)
+    counts = HashingTF(inputCol="kept", outputCol="tf", numFeatures=HASHED_TERMS).transform(clean)  # keeps every term
     weighted = IDF(inputCol="tf", outputCol="features").fit(counts).transform(counts)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(weighted)
     placed = model.transform(weighted).select(key, title, "cluster")

@@ -15,7 +15,7 @@ from tessera.session import cut
 # Fixed marks of the extraction text.
 FIELD_MARK, TUPLE_MARK, END_MARK = "<|>", "##", "<|COMPLETE|>"
 
-NAME = r"([A-Z][a-z]{2,})"
+NAME = r"(\p{Lu}\p{Ll}{2,})"  # capitalised words of any script
 CHUNK = ["doc_id", "pos"]
 
 

@@ -10,14 +10,14 @@ def listing(files: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def uploaded(files: DataFrame, batch: DataFrame, override: bool = True) -> DataFrame:
-    """One row per (kb, path). With ``override`` the highest version wins, else the lowest.
+    """One row per (kb, path). With ``override`` the highest version wins, else the lowest; equal versions go by content.
 
     Combined map-side, so a path uploaded very often is one row per task.
     """
     every = files.unionByName(batch)
     rest = [c for c in every.columns if c not in ("kb", "path")]
     pick = F.max_by if override else F.min_by
-    best = every.groupBy("kb", "path").agg(pick(F.struct(*rest), "version").alias("f"))
+    best = every.groupBy("kb", "path").agg(pick(F.struct(*rest), F.struct("version", F.to_json(F.struct(*rest)))).alias("f"))
     return best.select("kb", "path", "f.*")
 
 

@@ -30,5 +30,7 @@ def running_sum(df: DataFrame, key: str, pos: str, value: str, out: str, block:
     before = F.sum("_s").over(W.partitionBy(key).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1))
     offsets = sums.select(key, "_blk", F.coalesce(before, F.lit(0)).alias("_start"))
     inside = F.sum(value).over(W.partitionBy(key, "_blk").orderBy(pos).rowsBetween(W.unboundedPreceding, 0))
-    return (blocked.withColumn("_in", inside).join(offsets, [key, "_blk"])
-            .withColumn(out, F.col("_start") + F.col("_in")).drop("_blk", "_in", "_start"))
+    offsets = offsets.withColumnsRenamed({key: "_key", "_blk": "_of"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_blk").eqNullSafe(F.col("_of"))  # null keys and positions are groups too
+    return (blocked.withColumn("_in", inside).join(offsets, same)
+            .withColumn(out, F.col("_start") + F.col("_in")).drop("_blk", "_in", "_start", "_key", "_of"))

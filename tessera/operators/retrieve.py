@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions.text import word_counts
 from tessera.operators.search import top_k
-from tessera.session import work_path
+from tessera.session import exists, work_path
 
 
 def merge_keys(per_key: list[DataFrame], k: int, keys: list[str], qid: str = "qid") -> DataFrame:
@@ -140,35 +140,35 @@ class ResultCache:
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.empty = spark, path or work_path(spark, "cache"), True
+        self.spark, self.path = spark, path or work_path(spark, "cache")
 
     def _hash(self, queries: DataFrame, text: str) -> DataFrame:
         return queries.withColumn("query_hash", F.sha2(F.lower(F.trim(F.col(text))), 256))
 
-    def misses(self, queries: DataFrame, version: str, text: str = "text") -> DataFrame:
-        """One row per query text that has no saved result."""
-        distinct = self._hash(queries, text).dropDuplicates(["query_hash"])
-        return distinct if self.empty else distinct.join(self._keys(version), "query_hash", "left_anti")
-
-    def _keys(self, version: str) -> DataFrame:
-        return self.entries(version).select("query_hash").distinct()
+    def misses(self, queries: DataFrame, version: str, text: str = "text", qid: str = "qid", expires: int | None = None) -> DataFrame:
+        """One row per query text that has no saved result: of equal texts the one with the smallest id."""
+        hashed = self._hash(queries, text)
+        distinct = hashed.groupBy("query_hash").agg(F.min_by(F.struct(*queries.columns), qid).alias("q")).select("q.*", "query_hash")
+        if not exists(self.spark, self.path):
+            return distinct
+        return distinct.join(self.entries(version, expires).select("query_hash").distinct(), "query_hash", "left_anti")
 
     def entries(self, version: str, expires: int | None = None) -> DataFrame:
         saved = self.spark.read.parquet(self.path).filter(F.col("version") == version)
         if expires is not None:
             saved = saved.filter(F.col("created_at") >= F.current_timestamp() - F.make_dt_interval(secs=F.lit(expires)))
-        return saved
+        newest = saved.groupBy("query_hash").agg(F.max("created_at").alias("created_at"))  # a text searched again replaces its old hits
+        return saved.join(newest, ["query_hash", "created_at"])
 
     def save(self, hits: DataFrame, version: str) -> None:
         """``hits`` carries ``query_hash``."""
         (hits.withColumn("version", F.lit(version)).withColumn("created_at", F.current_timestamp())
          .write.mode("append").parquet(self.path))
-        self.empty = False
 
     def answer(self, queries: DataFrame, version: str, search: Callable[[DataFrame], DataFrame],
                text: str = "text", qid: str = "qid", expires: int | None = None) -> DataFrame:
         """Search only what is missing, save it, and answer all queries from the table."""
-        missing = self.misses(queries, version, text)
+        missing = self.misses(queries, version, text, qid, expires)
         found = search(missing)
         self.save(found.join(missing.select(qid, "query_hash"), qid).drop(qid), version)
         return self._hash(queries, text).select(qid, "query_hash").join(self.entries(version, expires), "query_hash")

@@ -17,10 +17,14 @@ from tessera.session import work_path
 
 
 def mean_vectors(df: DataFrame, by: list[str], vec: str, weight: str | None = None) -> DataFrame:
-    """Mean vector per group, one average per dimension: no row is multiplied, all combined map-side."""
-    first = df.select(F.size(vec)).first()
+    """Mean vector per group, one average per dimension: no row is multiplied, all combined map-side.
+
+    Vectors of different lengths end the job.
+    """
+    first = df.select(F.size(vec)).where(F.col(vec).isNotNull()).first()
     dim = first[0] if first else 0
-    value = lambda i: F.col(vec)[i].cast("double")
+    even = F.when(F.col(vec).isNull() | (F.size(vec) == dim), F.col(vec)).otherwise(F.raise_error(F.lit("vectors of different lengths")))
+    value = lambda i: even[i].cast("double")
     if weight is None:
         means = [F.avg(value(i)).alias(f"m{i}") for i in range(dim)]
     else:
@@ -117,6 +121,8 @@ def cell_search(path: str, model: KMeansModel, queries: DataFrame, k: int, keys:
 def train_codebooks(nodes: DataFrame, parts: int, codes: int, vec: str = "vec", seed: int = 7) -> np.ndarray:
     """k-means per sub-vector: ``parts x codes x width``."""
     dim = nodes.select(F.size(vec)).first()[0]
+    if dim % parts:
+        raise ValueError(f"{dim} dimensions do not divide into {parts} parts")
     width = dim // parts
     books = []
     for p in range(parts):

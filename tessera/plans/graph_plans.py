@@ -15,7 +15,7 @@ ROUNDS = 3
 
 # ---- SQL pieces --------------------------------------------------------------------------------
 
-NAMES = "list_filter(regexp_extract_all({0}, '([A-Z][a-z]{{2,}})', 1), lambda x, i: list_position(regexp_extract_all({0}, '([A-Z][a-z]{{2,}})', 1), x) = i)"
+NAMES = "list_filter(regexp_extract_all({0}, '(\\p{{Lu}}\\p{{Ll}}{{2,}})', 1), lambda x, i: list_position(regexp_extract_all({0}, '(\\p{{Lu}}\\p{{Ll}}{{2,}})', 1), x) = i)"
 MENTIONS = f"""nl AS (SELECT doc_id, pos, lang, source, {NAMES.format('content')} AS ns FROM n JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id)),
 mt AS (SELECT doc_id, pos, lang, source, unnest(ns) AS name FROM nl),
 lk AS (SELECT doc_id, pos, lang, least(ns[i], ns[i + 1]) AS src, greatest(ns[i], ns[i + 1]) AS tgt FROM (SELECT *, unnest(range(1, len(ns))) AS i FROM nl)),

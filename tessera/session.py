@@ -42,6 +42,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def bounded_rows(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows`` of them, else None.
 

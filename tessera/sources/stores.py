@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.operators.order import dense_ids
-from tessera.session import work_path
+from tessera.session import exists, work_path
 
 
 def load_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -65,10 +65,11 @@ class VectorCollection:
 
 
 class Snapshot:
-    """Results per content hash; a later start computes only what is new."""
+    """Results per content hash; a later start, in this process or another, computes only what is new."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.runs = spark, path or work_path(spark, "snapshot"), 0
+        self.spark, self.path = spark, path or work_path(spark, "snapshot")
+        self.runs = (self.read().agg(F.max("run")).first()[0] or 0) + 1 if exists(spark, self.path) else 0
 
     def refresh(self, nodes: DataFrame, compute, text: str = "content") -> DataFrame:
         """``hash`` plus what ``compute(content) -> Column`` gives; ``run`` tells when it was made."""
