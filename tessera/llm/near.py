@@ -10,7 +10,9 @@ a document has nothing rarer.
 
 A list of more than SHORT nodes is first compared with a few leaders: its most central node, and some picked by hash. What
 stays apart from the rest of its list meets new leaders. Only nodes that are in different components after that are compared
-with each other, so a group of thousands of near copies makes no square of pairs, and no link between components is missed.
+with each other: each list's most central node names a cell, a cell's nodes are packed into blocks of bounded size, and
+blocks of like set sizes are compared on their full sets. Blocks travel, pairs do not, and only links come out. So a group
+of thousands of near copies makes no square of pairs, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -31,7 +33,10 @@ from tessera.llm.scratch import Scratch
 K = 64  # retained hashes
 SHORT = 12  # longer lists go by leaders
 LEADERS = 2
-TURNS = 4  # with leaders, before all that is still apart is compared
+TURNS = 2  # with leaders, before all that is still apart is compared in blocks
+BLOCK_ROWS = 128
+BLOCK_VALUES = 200_000  # shingles of a block's nodes together, unless one node has more
+COLUMNS = 4096  # values that a comparison of two blocks holds at a time
 SIGMAS = 4.5  # an estimate may fall short by so many standard deviations
 # Fixed value: what separates words.
 BLANK = hashing.separators(r"[\x20\x09-\x0D]")
@@ -111,12 +116,16 @@ def _estimate(a: Column, b: Column, k: int) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
 
 
-def _verified(scratch: Scratch, pairs: DataFrame, nodes: DataFrame, n: int, threshold: float, k: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+def _close(pairs: DataFrame, sketches: DataFrame, threshold: float, k: int) -> DataFrame:
+    """The pairs (a, b) whose sketches let them reach the threshold."""
     margin = SIGMAS * math.sqrt(threshold * (1 - threshold) / k)
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b") - 1e-9)
-    near = scratch.cut(near.where(_estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= threshold - margin).select("a", "b"))
+    side = lambda c: sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    alike = _estimate(F.col("sketch_a"), F.col("sketch_b"), k) >= threshold - margin
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b")
+
+
+def _verified(scratch: Scratch, near: DataFrame, nodes: DataFrame, n: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
     body = lambda c: nodes.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +157,81 @@ def _texts_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "__text", texts)
 
 
-def _with_leaders(rows: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+def _like_sizes(a: str, b: str, threshold: float) -> Column:
+    return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
+
+
+def _with_leaders(rows: DataFrame, members: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of ``rows`` with their lists' leaders: the most central of ``members``, and some drawn by hash anew each turn."""
-    draws = [F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)), "node")).alias(f"d{i}") for i in range(LEADERS)]
-    led = members.groupBy("value").agg(F.max_by("node", F.struct("central", "node")).alias("c"), *draws)
-    led = led.select("value", F.array_distinct(F.array("c", *[F.col(f"d{i}.node") for i in range(LEADERS)])).alias("leaders"))
-    met = rows.join(led, "value").select("node", F.explode("leaders").alias("leader")).where("node <> leader")
-    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    body = F.struct("node", "size")
+    draws = [F.min_by(body, F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)), "node")).alias(f"d{i}") for i in range(LEADERS)]
+    led = members.groupBy("value").agg(F.max_by(body, F.struct("central", "node")).alias("c"), *draws)
+    led = led.select("value", F.array_distinct(F.array("c", *[f"d{i}" for i in range(LEADERS)])).alias("leaders"))
+    met = rows.join(led, "value").select("node", "size", F.explode("leaders").alias("leader"))
+    met = met.where((F.col("node") != F.col("leader.node")) & _like_sizes("size", "leader.size", threshold))
+    return met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
+
+
+def _in_blocks(scratch: Scratch, split: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of different components that share a list; at least one of them is ``rest`` there.
+
+    Sets of linked nodes differ in size by the threshold at most, so that a block meets those of its own and the two
+    neighbouring ranges of sizes.
+    """
+    led = split.groupBy("value").agg(F.max_by("node", F.struct("central", "node")).alias("cell"))
+    cells = split.join(led, "value").groupBy("cell", "node").agg(F.first("root").alias("root"), F.max("rest").alias("rest"), F.first("size").alias("size"))
+    cells = scratch.cut(cells.withColumn("range", F.floor(F.log("size") / -math.log(threshold * 0.9999)).cast("int")))
+
+    def blocks(rows: DataFrame, side: str) -> DataFrame:
+        need = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_VALUES))
+        rows = rows.join(rows.groupBy("cell", "range").agg(need.alias("need")), ["cell", "range"])
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("need"))).join(texts.select("node", "text"), "node")
+        packed = rows.groupBy("cell", "range", "part").agg(F.collect_list(F.struct("node", "root", "text")).alias(side))
+        return packed.select("cell", F.col("range").alias(f"range_{side}"), side)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last, known = None, None  # neighbouring rows often share their first block
+            for i in range(batch.num_rows):
+                p, q = (batch.column(batch.schema.get_field_index(c))[i].values for c in "pq")
+                if last is None or not p.equals(last):
+                    last, known = p, _sets_of(p, n)
+                yield pa.RecordBatch.from_arrays(list(_links_of(known, _sets_of(q, n), threshold)), names=["a", "b"])
+
+    p, q = blocks(cells.where("rest"), "p"), blocks(cells, "q")
+    met = p.join(q, (p["cell"] == q["cell"]) & (F.abs(p["range_p"] - q["range_q"]) <= 1)).select("p", "q")
+    return scratch.cut(met.mapInArrow(work, "a bigint, b bigint"))
+
+
+def _sets_of(block: pa.StructArray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes, roots, hashes, bounds) of a block."""
+    node, root, bodies = block.flatten()
+    texts = [zstandard.decompress(b) for b in bodies.to_pylist()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    return node.to_numpy(), root.to_numpy(), *shingle_hashes(np.frombuffer(b"".join(texts), np.uint8), offsets, n)
+
+
+def _links_of(p: tuple, q: tuple, threshold: float) -> tuple[pa.Array, pa.Array]:
+    """Links between nodes of two blocks that are in different components."""
+    both = np.intersect1d(p[2], q[2])
+    shared = np.zeros((len(p[0]), len(q[0])))
+    sides = []
+    for _, _, h, bounds in (p, q):
+        place = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
+        held = both[place] == h if len(both) else np.zeros(len(h), bool)
+        order = np.argsort(place[held], kind="stable")
+        sides.append((place[held][order], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[held][order], np.diff(bounds)))
+    for start in range(0, len(both), COLUMNS):
+        part = []
+        for place, owner, sizes in sides:
+            x, y = np.searchsorted(place, (start, start + COLUMNS))
+            m = np.zeros((len(sizes), COLUMNS), np.float32)
+            m[owner[x:y], place[x:y] - start] = 1
+            part.append(m)
+        shared += part[0] @ part[1].T
+    union = sides[0][2][:, None] + sides[1][2][None] - shared
+    i, j = np.nonzero((shared >= threshold * union - 1e-9) & (p[1][:, None] != q[1][None]))
+    return pa.array(np.minimum(p[0][i], q[0][j])), pa.array(np.maximum(p[0][i], q[0][j]))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text", k: int = K, with_text: bool = True) -> DataFrame:
@@ -185,50 +262,45 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8, key: st
     mine = values.join(shared, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("common"))
     listed = mine.join(nodes.select("node", "size"), "node")
     room = _listed(F.col("size"), threshold, k) - (F.least("size", F.lit(k)) - F.size("common"))
-    listed = listed.where(room > 0).select("node", F.explode(F.slice("common", F.lit(1), room.cast("int"))).alias("c"))
-    listed = scratch.cut(listed.select("node", F.col("c.value").alias("value")))
+    listed = listed.where(room > 0).select("node", "size", F.explode(F.slice("common", F.lit(1), room.cast("int"))).alias("c"))
+    listed = scratch.cut(listed.select("node", "size", F.col("c.value").alias("value")))
     scratch.drop(shared)
-    lists = scratch.cut(listed.groupBy("value").agg(F.count("*").alias("length")).where("length > 1"))
+    lists = listed.groupBy("value").agg(F.count("*").alias("length")).where("length > 1")
     entries = scratch.cut(listed.join(lists, "value"))
     scratch.drop(listed)
     # short lists: all pairs
-    x, y = (entries.where(F.col("length") <= SHORT).select("value", F.col("node").alias(c)) for c in "ab")
-    pairs = x.join(y, "value").where("a < b").select("a", "b")
+    x, y = (entries.where(F.col("length") <= SHORT).select("value", F.col("node").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    pairs = x.join(y, (x["value"] == y["value"]) & (F.col("a") < F.col("b")) & _like_sizes("size_a", "size_b", threshold)).select("a", "b")
     # long ones: the node that is in most and longest lists is what the others were copied from, as a rule
     long = entries.where(F.col("length") > SHORT)
-    long = scratch.cut(long.join(long.groupBy("node").agg(F.sum("length").alias("central")), "node").select("value", "node", "central"))
-    pairs = scratch.cut(pairs.unionByName(_with_leaders(long, long, 0)).distinct())
-    involved = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(long.select("node")).distinct()
-    some = scratch.cut(nodes.join(involved, "node").select("node", "size", "sketch"))
-    scratch.drop(nodes)
+    long = scratch.cut(long.join(long.groupBy("node").agg(F.sum("length").alias("central")), "node").select("value", "node", "size", "central"))
+    pairs = scratch.cut(pairs.unionByName(_with_leaders(long, long, 0, threshold)).distinct())
+    near = scratch.cut(_close(pairs, nodes, threshold, k))
+    involved = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).union(long.select("node")).distinct()
+    some = scratch.cut(nodes.join(involved, "node").select("node", "sketch"))
+    scratch.drop(nodes, entries)
     # hints where texts are moved: the same plan at every size
-    small = scratch.cut(base.select(F.col("__uid").alias("node"), F.col("__text").alias("text")).join(some.hint("merge"), "node"))
-    links = _verified(scratch, pairs, small, n, threshold, k)
+    small = scratch.cut(base.select(F.col("__uid").alias("node"), F.col("__text").alias("text")).join(some.select("node").hint("merge"), "node"))
+    links = _verified(scratch, near, small, n, threshold)
     for turn in range(1, TURNS + 1):
         roots = components(links)
-        apart = scratch.cut(long.join(roots, "node", "left").select("value", "node", "central", F.coalesce("root", "node").alias("root")))
+        apart = scratch.cut(long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
         # lists whose nodes are still in several components; most nodes are in the largest, and pairs within it are never made
         counts = apart.groupBy("value", "root").agg(F.count("*").alias("n"))
         largest = counts.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"))
-        split = apart.join(largest.where("roots > 1"), "value").select("value", "node", "central", "root", (F.col("root") != F.col("largest")).alias("rest"))
-        split = scratch.cut(split)
+        split = apart.join(largest.where("roots > 1"), "value").withColumn("rest", F.col("root") != F.col("largest"))
+        split = scratch.cut(split.select("value", "node", "size", "central", "root", "rest"))
         if split.isEmpty() or turn == TURNS:
             break
-        new = scratch.cut(_with_leaders(split.where("rest"), split, turn).distinct().join(pairs, ["a", "b"], "left_anti"))
-        pairs = pairs.unionByName(new)
-        links = links.unionByName(_verified(scratch, new, small, n, threshold, k))
-    # what leaders have not joined: every pair of nodes of different components that shares enough of its sketches
-    least = F.least("size", F.lit(k)) - _listed(F.col("size"), threshold, k) + 1
-    full = scratch.cut(split.join(some, "node").select("value", "node", "root", "rest", "size", "sketch", least.alias("least")))
-    p, q = (full.select("value", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "rest", "size", "sketch", "least")]) for side in "pq")
-    apart = (F.col("p_root") != F.col("q_root")) & (~F.col("q_rest") | (F.col("p_node") < F.col("q_node")))
-    alike = (F.least("p_size", "q_size") >= threshold * F.greatest("p_size", "q_size") - 1e-9) & (F.size(F.array_intersect("p_sketch", "q_sketch")) >= F.least("p_least", "q_least"))
-    more = p.where("p_rest").join(q, (p["value"] == q["value"]) & apart & alike)
-    more = more.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")).distinct()
-    more = scratch.cut(more.join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        links = links.unionByName(_verified(scratch, more, small, n, threshold, k))
-        roots = components(links)
+        new = scratch.cut(_with_leaders(split.where("rest"), split, turn, threshold).distinct().join(pairs, ["a", "b"], "left_anti"))
+        near = scratch.cut(_close(new, some, threshold, k))
+        links = links.unionByName(_verified(scratch, near, small, n, threshold))
+    # what leaders have not joined
+    if not split.isEmpty():
+        more = _in_blocks(scratch, split, small, n, threshold)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links)
     grouped = best.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = grouped.groupBy("root").agg(F.min("best").alias("head"))
     heads = scratch.cut(grouped.select("digest", "root").join(heads, "root").select(F.col("digest").alias("__of"), F.col("head").alias("__head")))

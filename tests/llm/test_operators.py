@@ -443,6 +443,31 @@ def test_long_lists_lose_no_link(spark, monkeypatch):
     assert found == groups(range(60), linked)
 
 
+@pytest.mark.parametrize("n", [2, 5])
+def test_blocks_of_copies_that_leaders_leave_apart(spark, monkeypatch, n):
+    """Loose copies of one text, most linked with none; pairs of them that differ in little; sizes on both sides of a range."""
+    monkeypatch.setattr(near, "SHORT", 3)
+    monkeypatch.setattr(near, "LEADERS", 1)
+    monkeypatch.setattr(near, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(near, "BLOCK_VALUES", 900)
+    rng = np.random.default_rng(n)
+    text = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(80):
+        w = list(text[:int(rng.integers(100, 121))])
+        for j in rng.choice(len(w), int(rng.integers(3, 12)) * 2 // n, replace=False):
+            w[j] = f"x{i}"
+        rows.append((i, " ".join(w)))
+        if i % 8 == 0:
+            rows.append((100 + i, " ".join([*w, "and", "more"])))
+    sets = {i: shingles(t, n) for i, t in rows}
+    linked = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    taken = []
+    monkeypatch.setattr(near, "_in_blocks", lambda *a, f=near._in_blocks: taken.append(1) or f(*a))
+    found = {r.doc_id: r.component_id for r in near.near_duplicates(docs_of(spark, rows), n=n).collect()}
+    assert found == groups(list(sets), linked) and taken
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(100 + i, 300) for i in range(50)]
