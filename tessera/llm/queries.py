@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, substrings, vectors, warc
+from tessera.llm import chat, decontaminate, langid, licenses, lines, near, packing, pieces, substrings, vectors, warc
 
 TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
+PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +145,9 @@ from embeddings e join low l using (vec_id) left join degree d using (vec_id)"""
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated 100-byte strings."""
     return substrings.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text read back from them."""
+    return pieces.digests(table(spark, sf_dir, "documents", "doc_id", "text"), PIECES)
