@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import alignment, chat, decontaminate, langid, licenses, lines, near, packing, pieces, substrings, vectors, warc
+from tessera.llm import alignment, chat, decontaminate, langid, licenses, lines, near, packing, pieces, repair, substrings, vectors, warc
 
 TOKENIZER = str(public_tokenizers.path("byte_bpe_50k.json"))
 PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -157,3 +157,9 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers, for every document."""
     return alignment.digests(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, PIECES)
+
+
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by rule, and its cheapest repair."""
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
