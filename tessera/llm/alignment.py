@@ -57,24 +57,26 @@ class Aligner:
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both kinds; none where the text is null or empty, or the tokens' bytes are not blank + text."""
         none = np.empty(0, np.int64)
-        if not text:
+        # pieces are the text's own characters, so only a marker in the text (read as a blank) or an unknown id changes a byte
+        if not text or MARK in text:
             return none, none
         whole = " " + text
-        a = self.a.encode_ordinary(whole)
-        b = np.frombuffer(b"".join(self.b.encode(text)), "<u4")
-        raw = whole.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != raw:
+        a = np.array(self.a.encode_ordinary(whole), np.int64)
+        b = np.frombuffer(b"".join(self.b.encode(text)), "<u4").astype(np.int64)
+        size = len(whole.encode())
+        if self.size_a[a].sum() != size or self.size_b[b].sum() != size or (b == self.b.model.unk_id()).any():
             return none, none
-        return np.array(a, np.int64), b.astype(np.int64)
+        return a, b
 
     def align(self, text: str | None) -> dict[str, np.ndarray]:
         """Per token its id, end and group (numbered from 0); per link its a and b token."""
         a, b = self.tokens(text)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         last_a, last_b = terminals(ends_a, ends_b)
-        group_a, group_b = (np.searchsorted(np.unique(last_b), last) for last in (last_a, last_b))
+        group_a, group_b = (np.cumsum(np.diff(last, prepend=last[:1]) != 0) for last in (last_a, last_b))
         # between two neighbouring ends there is one token of each kind
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.diff(ends, prepend=0) > 0]
         return {"a": a, "b": b, "end_a": ends_a, "end_b": ends_b, "group_a": group_a, "group_b": group_b,
                 "link_a": np.searchsorted(ends_a, ends), "link_b": np.searchsorted(ends_b, ends)}
 

@@ -9,6 +9,7 @@ bounded memory, and starts a new one when it is full.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,19 +39,18 @@ class Pieces:
         if self.model.normalize("Ａ  a ") != f"{MARK}Ａ{MARK}{MARK}a{MARK}":
             raise ValueError("the model changes texts before it segments them")
         self.begin, self.end = self.model.bos_id(), self.model.eos_id()
-        self.table: dict[str, bytes] = {}
-        self.held = 0
+        # an empty text has no ids, so a lone marker is known from the start
+        self.lone = {MARK: struct.pack("<I", self.model.piece_to_id(MARK))}
+        self.table, self.held = dict(self.lone), 0
 
     def _learn(self, words: set[str]) -> None:
         """Segment words that the table lacks. The model puts a marker in front of what it is given."""
         if self.held > TABLE_BYTES:
-            self.table, self.held = {}, 0
+            self.table, self.held = dict(self.lone), 0
         new = [w for w in words if w not in self.table]
-        for word, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1)):
-            # an empty text has no ids, a lone marker has
-            packed = np.array(ids if len(word) > 1 else [self.model.piece_to_id(MARK)], "<u4").tobytes()
-            self.table[word] = packed
-            self.held += 200 + 2 * len(word) + len(packed)
+        ids = [struct.pack(f"<{len(i)}I", *i) for i in self.model.encode([w[1:] for w in new], num_threads=1)]
+        self.table.update(zip(new, ids))
+        self.held += 200 * len(new) + 2 * sum(map(len, new)) + sum(map(len, ids))
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The packed ids (little-endian, 32 bits) of the text, slice by slice; slices end where a word does."""
