@@ -22,7 +22,7 @@ from tessera.llm import hashing
 
 N = 3  # words of a seed
 SPACING = 3  # one seed among so many neighbouring n-grams
-CHUNK = 256  # longer items are compared in chunks of so many words
+CHUNK = 256  # longer items are compared in even chunks of at most so many words
 BLOCK_BYTES = 8 << 20  # test items per pass
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5  # of the score of a perfect copy
@@ -63,8 +63,9 @@ class Items:
         for row in table.to_pylist():
             data = np.frombuffer((row["text"] or "").encode(), np.uint8)
             h, _ = word_hashes(data, np.array([0, len(data)]))
-            for start in range(0, len(h), CHUNK):
-                words.append(h[start:start + CHUNK])
+            # chunks of even sizes: none is a short rest that common words would match
+            for part in np.array_split(h, -(-len(h) // CHUNK)) if len(h) else ():
+                words.append(part)
                 owner.append(len(ids))
             ids.append(row["item"])
         return cls(ids, words, np.array(owner, np.int64), table.schema.field("item").type)

@@ -92,6 +92,14 @@ def test_long_items_count_by_their_best_chunk(spark):
     assert [(r.doc_id, r.item_id) for r in found] == [(1, 1)]
 
 
+def test_items_just_longer_than_a_chunk_have_no_short_rest(spark):
+    for size in range(257, 264):
+        item = " ".join([f"w{i}" for i in range(size - 7)] + "the best in the world and more".split())
+        tests = spark.createDataFrame([(1, item)], "item_id int, text string")
+        rows = [(1, "a quite unrelated document about tea the best in the world and more"), (2, "x " + item), (3, " ".join(item.split()[:120]))]
+        assert [r.doc_id for r in decontaminate.find_leaks(docs_of(spark, rows), tests).orderBy("doc_id").collect()] == [2, 3]
+
+
 # --- archives
 
 
