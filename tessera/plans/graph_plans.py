@@ -8,6 +8,7 @@ from tessera.functions import text as tx
 from tessera.operators import communities as cm, graph as gr
 from tessera.operators.ranking import bm25_search
 from tessera.plans.common import KEYS, LINE_WORDS, PASSAGES, bm25_cte, line_words, passages
+from tessera.operators.modularity import leveled_communities
 from tessera.plans.registry import query
 from tessera.session import cut
 
@@ -268,6 +269,14 @@ def g12_communities(t):
     return cm.communities(_edges(t), ROUNDS)
 
 
+@query("g12_levels", f"{BASE_R}, {COMPONENTS} SELECT node, level::INTEGER AS level, comp AS component FROM cc, range(1, 3) AS l(level)")
+def g12_levels(t):
+    """Members of the communities of two levels, with the component their community lies in."""
+    edges = _edges(t).select("src", "tgt", "weight")
+    homes = cm.connected_components(edges).select(F.col("node").alias("community"), "component")
+    return leveled_communities(edges, 2).join(homes, "community").select("node", "level", "component")
+
+
 def _table(t):
     g = _Stored(t)
     members = cm.communities(g.edges(), ROUNDS)

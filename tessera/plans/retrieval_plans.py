@@ -8,6 +8,7 @@ from tessera.functions import text as tx
 from tessera.operators import retrieve as rt, tree, vectors as vc
 from tessera.operators.nodes import NodeTree
 from tessera.operators.ranking import bm25_search, char_search, jaccard_search, query_terms
+from tessera.operators.term_index import TermIndex
 from tessera.operators.search import block_search, vector_scorer
 from tessera.plans.common import (KEYS, LINE_WORDS, LINES, MEANS, PASSAGES, WORDS, bm25_cte, label_means, line_words,
                                   passages, ranked, vector_nodes)
@@ -235,6 +236,18 @@ def r16_index_delta(t):
     return df.join(total, "term")
 
 
+@query("r16_index_search", f"""WITH {LINE_WORDS.replace("FROM documents)", "FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))")},
+{PASSAGES}, {bm25_cte()} SELECT * FROM hits""")
+def r16_index_search(t):
+    """French documents arrive later and toxic ones leave; the stored segments answer, equal to a search over what is left."""
+    nodes = line_words(t, keep=("lang",)).select(*KEYS, "words", "lang")
+    toxic = t.labels.filter("toxic = 1").select("doc_id")
+    index = TermIndex(t.spark)
+    index.commit(1, nodes.filter("lang <> 'fr' or lang is null").drop("lang"))
+    index.commit(2, nodes.filter("lang = 'fr'").drop("lang").join(toxic, "doc_id", "left_anti"), toxic)
+    return index.search(passages(t), 5)
+
+
 @query("r17_partitioned_search")
 def r17_partitioned_search(t):
     """Approximate search: 8 stored cells, 4 read per query."""

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.operators.ranking import bm25_search
-from tessera.plans.common import KEYS, LINES, LINE_WORDS, PASSAGES, bm25_cte, line_words
+from tessera.operators.term_index import TermIndex
+from tessera.plans.common import KEYS, LINES, LINE_WORDS, PASSAGES, bm25_cte, line_words, passages
 from tessera.plans.node_plans import LISTED
 from tessera.operators.nodes import explode_nodes
 from tessera.plans.registry import query
@@ -31,6 +32,24 @@ def x1_live_index(t):
     return index.nodes().select(*KEYS, "content")
 
 
+@query("x1_live_changes", f"""WITH {LINE_WORDS.replace("FROM documents)", "FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))")},
+{PASSAGES}, {bm25_cte()} SELECT * FROM hits""")
+def x1_live_changes(t):
+    """Documents arrive, toxic ones leave, and older copies of those come late, which changes nothing; the index answers."""
+    docs, toxic = t.documents.select("doc_id", "text"), t.labels.filter("toxic = 1").select("doc_id").distinct()
+    put = docs.select("doc_id", F.lit(1).cast("bigint").alias("version"), F.lit("put").alias("op"), "text")
+    gone = toxic.select("doc_id", F.lit(2).cast("bigint").alias("version"), F.lit("delete").alias("op"), F.lit(None).cast("string").alias("text"))
+    source = work_path(t.spark, "changes")
+    for wave in (put, gone, put.join(toxic, "doc_id", "left_semi")):
+        wave.repartition(2, "doc_id").write.mode("append").parquet(source)
+    index = TermIndex(t.spark)
+    nodes_of = lambda d: _line_nodes(d).select(*KEYS, tx.words(F.col("content")).alias("words"))
+    feed = live.LiveTermIndex(t.spark, index, nodes_of, most_segments=2)
+    changes = live.file_stream(t.spark, source, "*.parquet", files_per_batch=2)
+    live.run_now(changes, feed.take, work_path(t.spark, "cp")).awaitTermination()
+    return index.search(passages(t), 5)
+
+
 @query("x2_live_questions", f"WITH {LINE_WORDS}, {PASSAGES}, {bm25_cte(k=3)} SELECT * FROM hits")
 def x2_live_questions(t):
     search = lambda nodes, q: bm25_search(nodes, q.select(

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tessera.functions.masking import masked
-from tessera.session import work_path
+from tessera.operators.term_index import TermIndex
+from tessera.session import cut, exists, work_path
 
 
 def run_now(df: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -49,6 +50,44 @@ class LiveIndex:
         return self.spark.read.parquet(f"{self.path}/nodes").join(last, ["doc_id", "batch"], "left_semi").drop("batch")
 
 
+class LiveTermIndex:
+    """A term index under a stream of changes: ``doc_id, version, op`` ('put' or 'delete') and the document's columns.
+
+    A batch is one segment of the index: nodes of new documents, and tombstones for what they replace or what leaves. Of several
+    changes of a document the highest version counts, in whatever order and batch they come; at equal versions a put beats a
+    delete, then the larger row. A repeated batch changes nothing. Beyond ``most_segments`` segments all are merged into one, which searches that have
+    begun do not notice; so a search reads a bounded number of folders.
+    """
+
+    def __init__(self, spark: SparkSession, index: TermIndex, nodes_of: Callable[[DataFrame], DataFrame], most_segments: int = 8):
+        self.spark, self.index, self.nodes_of, self.most_segments = spark, index, nodes_of, most_segments
+
+    def versions(self, names: list[str]) -> DataFrame:
+        """The highest version seen of every document."""
+        where = f"{self.index.path}/versions"
+        if not names or not exists(self.spark, where):
+            return self.spark.createDataFrame([], "doc_id bigint, version bigint")
+        seen = self.spark.read.parquet(where).filter(F.col("seg").isin(names))
+        return seen.groupBy("doc_id").agg(F.max("version").alias("version"))
+
+    def take(self, changes: DataFrame, batch_id: int) -> None:
+        live = self.index.live()
+        if live and live[-1].seq >= batch_id:  # the batch was finished before
+            return
+        names = [r.seg for r in live]
+        rest = [c for c in changes.columns if c not in ("doc_id", "version", "op")]
+        newest = changes.groupBy("doc_id").agg(F.max(F.struct("version", "op", *rest)).alias("c")).select("doc_id", "c.*")
+        known = self.versions(names).withColumnRenamed("version", "_known")
+        fresh = cut(newest.join(known, "doc_id", "left").filter("_known is null or version > _known").drop("_known"))
+        fresh.select("doc_id", "version").write.mode("overwrite").parquet(f"{self.index.path}/versions/seg={self.index.segment_name(batch_id)}")
+        self.index.commit(batch_id, self.nodes_of(fresh.filter("op = 'put'")), fresh.select("doc_id"))
+        live = self.index.live()
+        if len(live) > self.most_segments:
+            merged = self.versions([r.seg for r in live])
+            merged.write.mode("overwrite").parquet(f"{self.index.path}/versions/seg={self.index.base_name(live)}")
+            self.index.compact()
+
+
 class LiveAnswers:
     """Answers to arriving questions from the index as it is at that moment."""
 
