@@ -57,7 +57,7 @@ class Graph:
 
     def scored(self, labels: DataFrame, votes: DataFrame) -> DataFrame:
         """What a node gains from being in each neighbouring community, its own included."""
-        state = cut(self.nodes.join(labels.withColumnRenamed("c", "own"), "node"))
+        state = self.nodes.join(labels.withColumnRenamed("c", "own"), "node")
         totals = state.groupBy(F.col("own").alias("c")).agg(F.sum("k").alias("total"))
         own = state.select("node", F.col("own").alias("c"), F.lit(0.0).alias("kin"))
         options = votes.unionByName(own).groupBy("node", "c").agg(F.sum("kin").alias("kin"))
@@ -92,16 +92,21 @@ def _wishes(scored: DataFrame) -> DataFrame:
 
 def moved(graph: Graph, labels: DataFrame, rounds: int) -> DataFrame:
     """Local moves until nobody gains, modularity stops rising, or ``rounds`` are over."""
-    quality = graph.quality(labels)
-    for r in range(rounds):
-        moves = cut(graph.apart(_wishes(graph.scored(labels, graph.votes(labels))), r))
-        if moves.isEmpty():
+    before, quality = None, None
+    for r in range(rounds + 1):
+        rows = graph.scored(labels, graph.votes(labels))
+        # every node's row for its own community gives the modularity: the sum of k times total is that of the totals' squares
+        own = rows.filter("c = own").agg(F.sum("kin"), F.sum(F.col("k") * F.col("total"))).first()
+        now = (own[0] or 0.0) / graph.ends - (own[1] or 0.0) / graph.ends ** 2 if graph.ends else 0.0
+        if before is not None and now <= quality + 1e-12:  # nodes apart from each other may still crowd one community
+            return before
+        if r == rounds:
             break
-        new = cut(labels.join(moves, "node", "left").select("node", F.coalesce("to", "c").alias("c")))
-        now = graph.quality(new)
-        if now <= quality + 1e-12:  # nodes apart from each other may still crowd one community
+        moves = cut(graph.apart(_wishes(rows), r))
+        if moves.isEmpty():
             break
-        labels, quality = new, now
+        before, quality = labels, now
+        labels = cut(labels.join(moves, "node", "left").select("node", F.coalesce("to", "c").alias("c")))
     return labels
 
 
