@@ -8,6 +8,7 @@ from tessera.functions import text as tx
 from tessera.operators import retrieve as rt, tree, vectors as vc
 from tessera.operators.nodes import NodeTree
 from tessera.operators.ranking import bm25_search, char_search, jaccard_search, query_terms
+from tessera.operators.near_cache import NearResultCache
 from tessera.operators.term_index import TermIndex
 from tessera.operators.search import block_search, vector_scorer
 from tessera.plans.common import (KEYS, LINE_WORDS, LINES, MEANS, PASSAGES, WORDS, bm25_cte, label_means, line_words,
@@ -267,6 +268,34 @@ def r18_result_cache(t):
     return cache.answer(queries, "v1", search).select("qid", *KEYS, "score", "rk")
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+COUNTED = "list_transform(string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' '), lambda c: (length({0}) - length(replace({0}, c, '')))::DOUBLE)"
+MORE = " the of and"
+
+
+@query("r18_near_queries", f"""WITH {LINE_WORDS}, q0 AS (SELECT item_id AS id, text, lower(text) AS low FROM benchmark),
+q AS (SELECT id AS qid, {WORDS.format('text')} AS words FROM q0 UNION ALL SELECT id + 1000000, {WORDS.format(f"text || '{MORE}'")} FROM q0),
+v AS (SELECT id, {COUNTED.format('low')} AS v, {COUNTED.format(f"(low || '{MORE}')")} AS w FROM q0),
+near AS (SELECT b.id + 1000000 AS qid, a.id AS source, row_number() OVER (PARTITION BY b.id ORDER BY round(list_cosine_similarity(b.w, a.v), 9) DESC, a.id::VARCHAR) AS n
+  FROM v a JOIN v b ON round(list_cosine_similarity(b.w, a.v), 9) >= 0.99),
+{bm25_cte(k=3)}
+SELECT qid, doc_id, pos, score, rk, false AS saved FROM hits WHERE qid >= 1000000 AND qid NOT IN (SELECT qid FROM near)
+UNION ALL SELECT near.qid, doc_id, pos, score, rk, true FROM near JOIN hits ON hits.qid = source WHERE n = 1""")
+def r18_near_queries(t):
+    """The passages are answered; then they come with some words more. Near enough by their letters, they get the saved hits."""
+    nodes = line_words(t)
+    counts = lambda c: F.array(*[(F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))).cast("double") for x in LETTERS])
+    asked = lambda shift, text: t.benchmark.select((F.col("item_id") + shift).alias("qid"), text.alias("text")).select(
+        "qid", tx.words(F.col("text")).alias("words"), counts(F.lower("text")).alias("vec"))
+    cache = NearResultCache(t.spark, limit=0.99)
+    search = lambda q: bm25_search(nodes, q, 3, KEYS)
+    cache.answer(asked(0, F.col("text")), "v1", search)
+    again = cut(asked(1000000, F.concat("text", F.lit(MORE))))
+    near = cut(cache.matches(again, "v1").select("qid", F.lit(True).alias("saved")))
+    hits = cache.answer(again, "v1", search).select("qid", *KEYS, "score", "rk")
+    return hits.join(near, "qid", "left").withColumn("saved", F.coalesce("saved", F.lit(False)))
+
+
 @query("r19_many_queries", f"""WITH {LINE_WORDS},
 q AS (SELECT conv_id * 1000000 + turn AS qid, {WORDS.format('text')} AS words FROM conversations WHERE role = 'user'),
 {bm25_cte(k=3)}
