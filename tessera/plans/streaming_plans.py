@@ -59,19 +59,33 @@ def x2_live_questions(t):
     return answers.answers().select("qid", *KEYS, "score", "rk")
 
 
-@query("x3_session_state", """SELECT conv_id, turn, (row_number() OVER w - 1) AS turns_before, (sum(length(text)) OVER w - length(text))::BIGINT AS chars_before
-FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
-def x3_session_state(t):
+def _stateful(t, stream):
+    """Run a stream with state through all its input; what it emitted."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = t.spark.conf.get(key)
     t.spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out, cp = work_path(t.spark, "sessions"), work_path(t.spark, "cp")
+    out, cp = work_path(t.spark, "stateful"), work_path(t.spark, "cp")
     try:
-        live.session_stream(_stream(t, "conversations")).writeStream.format("parquet").option("checkpointLocation", cp).trigger(
-            availableNow=True).start(out).awaitTermination()
+        stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out).awaitTermination()
     finally:
         t.spark.conf.set(key, before)
-    return t.spark.read.parquet(out)
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+@query("x3_session_state", """SELECT conv_id, turn, (row_number() OVER w - 1) AS turns_before, (sum(length(text)) OVER w - length(text))::BIGINT AS chars_before
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def x3_session_state(t):
+    return _stateful(t, live.session_stream(_stream(t, "conversations")))
+
+
+@query("x3_ordered_turns", """SELECT conv_id, turn, (row_number() OVER w - 1) AS turns_before, (sum(length(text)) OVER w - length(text))::BIGINT AS chars_before
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def x3_ordered_turns(t):
+    """Turns arrive shuffled over several batches and are handed on in their order; a turn is said a minute after the one before."""
+    source = work_path(t.spark, "turns")
+    said = t.conversations.withColumn("at", F.timestamp_seconds(1_700_000_000 + F.col("turn") * 60))
+    said.repartition(4, F.xxhash64("turn", "conv_id")).write.parquet(source)
+    return _stateful(t, live.ordered_sessions(live.file_stream(t.spark, source, "*.parquet"), "at", wait_ms=600_000))
 
 
 @query("x4_expiry", """WITH r AS (SELECT event_id, user_id, value, ts AS created_at FROM events), m AS (SELECT max(created_at) AS now FROM r)
@@ -83,6 +97,16 @@ def x4_expiry(t):
     return live.fresh_results(saved, now, 3 * 86400).drop("created_at")
 
 
+@query("x4_expired_lives", """WITH e AS (SELECT user_id AS key, epoch_us(ts) // 1000 AS ms FROM events),
+b AS (SELECT *, coalesce(ms >= lag(ms) OVER w + 259200000, true)::INT AS fresh FROM e WINDOW w AS (PARTITION BY key ORDER BY ms)),
+l AS (SELECT *, sum(fresh) OVER (PARTITION BY key ORDER BY ms ROWS UNBOUNDED PRECEDING) AS life FROM b),
+r AS (SELECT key, min(ms) AS first_ms, max(ms) AS last_ms, count(*) AS saves, max(ms) + 259200000 AS expired_ms FROM l GROUP BY key, life)
+SELECT key, first_ms, last_ms, saves, expired_ms FROM r WHERE expired_ms < (SELECT max(ms) - 3600000 FROM e)""")
+def x4_expired_lives(t):
+    """Saves of a user's result keep it alive for three days each; the stream tells which lives are over."""
+    return _stateful(t, live.expired_results(_stream(t, "events"), "user_id", "ts", 3 * 86_400_000))
+
+
 @query("x5_masked_stream", """WITH m AS (SELECT doc_id, string_split_regex(text, 'on|and|eau|que|the|ung|keit|token') AS b,
   list_concat(regexp_extract_all(text, 'on|and|eau|que|the|ung|keit|token'), ['']) AS h FROM documents)
 SELECT doc_id, array_to_string(list_transform(b, lambda x, i: x || repeat('*', length(h[i]))), '') AS text FROM m""")

@@ -141,6 +141,135 @@ def session_stream(turns: DataFrame, ttl_ms: int = 0) -> DataFrame:
         outputMode="append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
+class ResultLives(StatefulProcessor):
+    """Lives of saved results: from the first save of a key until no save came for ``ttl_ms``.
+
+    A save strictly before the expiry refreshes the result; a later one starts a new life. Saves may arrive in any order within the
+    watermark's delay: lives that a late save connects become one. A timer at the expiry emits the life and takes it out of the state,
+    so the state holds keys that may still be refreshed and nothing else.
+    """
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.lives = handle.getListState("lives", "first bigint, last bigint, saves bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = [(int(ms), int(ms), 1) for part in rows for ms in part["ms"]]
+        before = [tuple(map(int, life)) for life in self.lives.get()] if self.lives.exists() else []
+        merged: list[tuple[int, int, int]] = []
+        for first, last, saves in sorted(before + new):
+            if merged and first < merged[-1][1] + self.ttl_ms:
+                merged[-1] = (merged[-1][0], max(merged[-1][1], last), merged[-1][2] + saves)
+            else:
+                merged.append((first, last, saves))
+        self.lives.put(merged)
+        due = {life[1] + self.ttl_ms for life in merged}
+        for old in {life[1] + self.ttl_ms for life in before} - due:
+            self.handle.deleteTimer(old)
+        for when in due - {life[1] + self.ttl_ms for life in before}:
+            self.handle.registerTimer(when)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        lives = [tuple(map(int, life)) for life in self.lives.get()] if self.lives.exists() else []
+        over = [life for life in lives if life[1] + self.ttl_ms <= now]
+        left = [life for life in lives if life[1] + self.ttl_ms > now]
+        if left:
+            self.lives.put(left)
+        else:
+            self.lives.clear()
+        if over:
+            yield pd.DataFrame([(key[0], first, last, saves, last + self.ttl_ms) for first, last, saves in over],
+                               columns=["key", "first_ms", "last_ms", "saves", "expired_ms"])
+
+    def close(self) -> None:
+        pass
+
+
+def expired_results(saves: DataFrame, key: str, at: str, ttl_ms: int, delay: str = "1 hour") -> DataFrame:
+    """Stream of expiries of the stream ``saves``: key, first_ms, last_ms, saves, expired_ms (event time in milliseconds).
+
+    ``key`` is a bigint, ``at`` a timestamp. A life is emitted once the watermark (the latest event less ``delay``) has passed its expiry.
+    Needs the RocksDB state store.
+    """
+    rows = saves.select(F.col(key).alias("key"), F.col(at).cast("timestamp").alias("at")).filter("key is not null and at is not null")
+    rows = rows.withWatermark("at", delay).withColumn("ms", F.unix_millis("at"))
+    return rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=ResultLives(ttl_ms), outputStructType="key bigint, first_ms bigint, last_ms bigint, saves bigint, expired_ms bigint",
+        outputMode="append", timeMode="EventTime")
+
+
+class OrderedTurns(StatefulProcessor):
+    """Hands on the turns of a session in their order, with the turns and characters before each.
+
+    A turn that comes before its predecessor is held, as three numbers in the state. If the predecessor has not come ``wait_ms`` of event time
+    after the held turn, the order goes on without it; should it come after all, it is numbered where it arrives.
+    """
+
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "next bigint, turns bigint, chars bigint")
+        self.held = handle.getListState("held", "turn bigint, size bigint, ms bigint")
+
+    def _state(self) -> tuple[list[int], list[tuple[int, int, int]]]:
+        seen = list(map(int, self.seen.get())) if self.seen.exists() else [0, 0, 0]
+        return seen, [tuple(map(int, h)) for h in self.held.get()] if self.held.exists() else []
+
+    def _release(self, key, seen: list[int], held: list[tuple[int, int, int]], until: int) -> Iterator[pd.DataFrame]:
+        """Hand on what is next, and all that is up to turn ``until``."""
+        out, rest = [], []
+        for turn, size, ms in sorted(held):
+            if turn <= max(seen[0], until):
+                out.append((key[0], turn, seen[1], seen[2]))
+                seen[:] = [max(seen[0], turn + 1), seen[1] + 1, seen[2] + size]
+            else:
+                rest.append((turn, size, ms))
+        self.seen.update(tuple(seen))
+        if rest:
+            self.held.put(rest)
+            for ms in {r[2] + self.wait_ms for r in rest} - set(self.handle.listTimers()):
+                self.handle.registerTimer(ms)
+        elif self.held.exists():
+            self.held.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["conv_id", "turn", "turns_before", "chars_before"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen, held = self._state()
+        held += [tuple(map(int, r)) for part in rows for r in part[["turn", "size", "ms"]].itertuples(index=False)]
+        yield from self._release(key, seen, held, -1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        seen, held = self._state()
+        late = [turn for turn, _, ms in held if ms + self.wait_ms <= now]
+        if late:
+            yield from self._release(key, seen, held, max(late))
+
+    def close(self) -> None:
+        pass
+
+
+def ordered_sessions(turns: DataFrame, at: str, wait_ms: int, delay: str = "1 hour") -> DataFrame:
+    """Stream of ``conv_id, turn, turns_before, chars_before`` in the order of the turns, which count from 0.
+
+    ``at`` is the event time. The state of a session is three numbers and those of the turns held; texts are not kept. Needs the RocksDB state store.
+    """
+    rows = turns.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull() & F.col(at).isNotNull())
+    rows = rows.select("conv_id", "turn", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.col(at).cast("timestamp").alias("at"))
+    rows = rows.withWatermark("at", delay).withColumn("ms", F.unix_millis("at"))
+    return rows.groupBy("conv_id").transformWithStateInPandas(
+        statefulProcessor=OrderedTurns(wait_ms), outputStructType="conv_id bigint, turn bigint, turns_before bigint, chars_before bigint",
+        outputMode="append", timeMode="EventTime")
+
+
 def fresh_results(results: DataFrame, now: str, seconds: int) -> DataFrame:
     """Saved results that are younger than ``seconds`` at ``now``."""
     return results.filter(F.col("created_at") > F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(seconds)))
