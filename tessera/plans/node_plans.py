@@ -128,6 +128,38 @@ def n9_user_transforms(t):
     return kw.batch_transform(marked, _initials, "initials", "string").select("doc_id", "pos", "marked", "initials")
 
 
+PAIRS = """qa AS (SELECT conv_id, turn, question, answer FROM (SELECT conv_id, turn, role, text AS question,
+  lead(role) OVER w AS next_role, lead(text) OVER w AS answer FROM conversations WHERE role IN ('user', 'assistant') AND turn IS NOT NULL
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) WHERE role = 'user' AND next_role = 'assistant' AND conv_id IS NOT NULL)"""
+PAIRS_OF_G = PAIRS.replace("FROM conversations", "FROM g")
+
+
+def _clauses(node):
+    """Clauses between commas, each with its place in the metadata; a line without a comma gives none."""
+    parts = [p for p in node.text.split(",") if p]
+    return [kw.Node(p, {**node.metadata, "part": f"{i + 1}/{len(parts)}"}) for i, p in enumerate(parts)] if "," in node.text else None
+
+
+@query("n9_node_transforms", f"""WITH {LINES}, d AS (SELECT doc_id, pos, lang, list_filter(string_split(content, ','), lambda p: p <> '') AS ps
+  FROM ln JOIN documents USING (doc_id) WHERE contains(content, ','))
+SELECT doc_id, pos, unnest(range(0, len(ps)))::INTEGER AS sub, unnest(ps) AS content, lang, (unnest(range(0, len(ps))) + 1) || '/' || len(ps) AS part FROM d""")
+def n9_node_transforms(t):
+    """A transform of whole nodes: none to many nodes each, with a metadata field of their own."""
+    nodes = lines(t, keep=("lang",)).select("doc_id", "pos", "content", F.create_map(F.lit("lang"), F.col("lang")).alias("metadata"))
+    made = kw.node_transform(nodes, _clauses, trans_node=True)
+    return made.select("doc_id", "pos", "sub", "content", F.col("metadata")["lang"].alias("lang"), F.col("metadata")["part"].alias("part"))
+
+
+@query("n14_gapped_pairs", f"""WITH g AS (SELECT conv_id, turn * 5000 AS turn, role, text FROM conversations
+  UNION ALL SELECT conv_id, turn * 5000 + 1, 'system', 'note' FROM conversations WHERE role = 'user'),
+{PAIRS_OF_G} SELECT * FROM qa""")
+def n14_gapped_pairs(t):
+    """Sessions with gaps and notes between the turns lose no pair."""
+    turns = t.conversations.select("conv_id", (F.col("turn") * 5000).alias("turn"), "role", "text")
+    notes = turns.filter("role = 'user'").select("conv_id", F.col("turn") + 1, F.lit("system"), F.lit("note"))
+    return kw.question_answer_pairs(turns.union(notes))
+
+
 @query("n10_chained", f"""WITH {LINES},
 s AS (SELECT doc_id, pos AS parent_pos, unnest(range(0, len(ps))) AS i, unnest(ps) AS content FROM (
   SELECT doc_id, pos, list_filter(string_split(content, '.'), lambda p: p <> '') AS ps FROM ln))
@@ -179,10 +211,6 @@ def n13_summary(t):
     return kw.summaries(docs, sentences.withColumn("words", tx.words(F.col("content"))), 3)
 
 
-PAIRS = """qa AS (SELECT a.conv_id, a.turn, a.text AS question, b.text AS answer FROM conversations a
-  JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 WHERE a.role = 'user' AND b.role = 'assistant')"""
-
-
 @query("n14_qa_pairs", f"WITH {PAIRS} SELECT * FROM qa")
 def n14_qa_pairs(t):
     return kw.question_answer_pairs(t.conversations)

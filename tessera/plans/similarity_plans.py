@@ -124,6 +124,19 @@ def m10_max_sim(t):
     return block_search(vector_nodes(t), queries, max_sim_scorer(8), 5, ["vec_id"], ["vec"])
 
 
+@query("m10_ragged", f"""WITH {MEANS},
+np AS (SELECT vec_id, r, list_slice(embedding::DOUBLE[], r * 8 + 1, r * 8 + 8) AS v FROM embeddings, range(0, 8) g(r) WHERE r < vec_id % 9),
+qp AS (SELECT label AS qid, r AS qr, list_slice(vec, r * 8 + 1, r * 8 + 8) AS v FROM mv, range(0, 8) g(r) WHERE r < label % 4 + 1),
+b AS (SELECT qid, qr, vec_id, max(list_inner_product(qp.v, np.v)) AS m FROM qp, np GROUP BY qid, qr, vec_id),
+sc AS (SELECT qid, vec_id, round(sum(m), 6) AS score FROM b GROUP BY qid, vec_id)
+{ranked('sc', 5)}""")
+def m10_ragged(t):
+    """Nodes of 0 to 8 tokens, queries of 1 to 4."""
+    queries = label_means(t).select(F.col("label").alias("qid"), F.slice("vec", F.lit(1), ((F.col("label") % 4 + 1) * 8).cast("int")).alias("vec"))
+    nodes = vector_nodes(t).select("vec_id", F.slice("vec", F.lit(1), ((F.col("vec_id") % 9) * 8).cast("int")).alias("vec"))
+    return block_search(nodes, queries, max_sim_scorer(8), 5, ["vec_id"], ["vec"])
+
+
 @query("m10_max_sim_pairs", PAIRED + """, np AS (SELECT vec_id, list_slice(a, r * 8 + 1, r * 8 + 8) AS v FROM p, range(0, 8) g(r)),
 qp AS (SELECT vec_id, r AS qr, list_slice(b, r * 8 + 1, r * 8 + 8) AS v FROM p, range(0, 8) g(r)),
 m AS (SELECT vec_id, qr, max(list_inner_product(qp.v, np.v)) AS m FROM qp JOIN np USING (vec_id) GROUP BY vec_id, qr)
@@ -164,7 +177,7 @@ UNION ALL SELECT 'lines_bm25', count(*), round(sum(score), 4) FROM (
 def m12_registered(t):
     """One pairwise and one whole-group similarity from the registry."""
     sims = _registry()
-    pairs = sims["l2"].score_pairs(_paired(t).withColumnRenamed("mean", "query_vec"), "query_vec", "vec")
+    pairs = sims["l2"].score_pairs(_paired(t).withColumnRenamed("mean", "query_vec"))
     batch = sims["lines_bm25"].search(line_words(t), passages(t), 3)
     return pairs.select(F.lit("l2").alias("name"), F.col("vec_id").alias("node"), "score").unionByName(
         batch.agg(F.lit("lines_bm25").alias("name"), F.count("*").alias("node"), F.round(F.sum("score"), 4).alias("score")))
