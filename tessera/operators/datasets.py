@@ -67,14 +67,14 @@ def from_messages(df: DataFrame, keep: tuple[str, ...], marker: str = "<image>")
 
 
 def negatives(passages: DataFrame, n: int, seed: int, key: str, text: str) -> DataFrame:
-    """``n`` random other passages per row: ``key, j, neg_key, negative``; repeats are allowed.
+    """``n`` random other passages per row: ``key, j, neg_key, negative``; repeats are allowed. A passage alone has none.
 
     Rows are numbered 0..N-1 in hash order; draw j picks a number below N-1 and skips its own.
     """
     numbered = dense_ids(passages.select(key, text).withColumn("_h", F.sha2(F.col(key).cast("string"), 256)), "_h", "_id")
     total = passages.agg(F.count("*").alias("n")).scalar()
     draws = numbered.select(key, "_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
-    drawn = F.pmod(hash_number(F.col(key), F.col("j"), F.lit(seed)), total - 1)
+    drawn = F.pmod(hash_number(F.col(key), F.col("j"), F.lit(seed)), F.nullif(total - 1, F.lit(0)))
     picks = draws.withColumn("_pick", F.when(drawn >= F.col("_id"), drawn + 1).otherwise(drawn))
     others = numbered.select(F.col("_id").alias("_pick"), F.col(key).alias("neg_key"), F.col(text).alias("negative"))
     return picks.join(others, "_pick").select(key, "j", "neg_key", "negative")

@@ -23,13 +23,15 @@ def context_recall(retrieved: DataFrame, reference: DataFrame, item: str, qid: s
     return counts.withColumn("recall", F.round(value, 6))
 
 
-def context_relevance(retrieved: DataFrame, reference: DataFrame, sentence: str, qid: str = "qid") -> DataFrame:
-    """Share of the retrieved sentences that occur in the reference."""
+def context_relevance(retrieved: DataFrame, reference: DataFrame, queries: DataFrame, sentence: str, qid: str = "qid") -> DataFrame:
+    """Share of the retrieved sentences that occur in the reference; 0 for a query that retrieved none."""
     ref = reference.select(qid, sentence).distinct().withColumn("hit", F.lit(1))
     counts = retrieved.groupBy(qid, sentence).agg(F.count("*").alias("n"))
     joined = counts.join(ref, [qid, sentence], "left").groupBy(qid).agg(
         F.sum("n").alias("n_sentences"), F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("n"))), F.lit(0)).alias("n_related"))
-    return joined.withColumn("relevance", F.round(F.col("n_related") / F.col("n_sentences"), 6))
+    share = F.when(F.col("n_sentences") > 0, F.col("n_related") / F.col("n_sentences")).otherwise(0.0)
+    every = queries.select(qid).distinct().join(joined, qid, "left").fillna(0, ["n_sentences", "n_related"])
+    return every.withColumn("relevance", F.round(share, 6))
 
 
 def recall_of_flags(df: DataFrame, relevant: Column, returned: Column) -> DataFrame:

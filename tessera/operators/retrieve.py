@@ -72,26 +72,27 @@ def dict_output(hits: DataFrame, fields: list[str]) -> DataFrame:
 
 def context_record(hits: DataFrame, queries: DataFrame, content: str = "content", separator: str = "\n",
                    qid: str = "qid", text: str = "text") -> DataFrame:
-    """``qid, context_str, query``."""
+    """``qid, context_str, query``; a query without hits has an empty context."""
     context = joined_output(hits, content, separator, qid).withColumnRenamed("output", "context_str")
-    return context.join(queries.select(qid, F.col(text).alias("query")), qid)
+    return queries.select(qid, F.col(text).alias("query")).join(context, qid, "left").select(qid, F.coalesce("context_str", F.lit("")).alias("context_str"), "query")
 
 
 def numbered_context(hits: DataFrame, queries: DataFrame, floor: float = 0.015, qid: str = "qid",
                      heads: tuple[str, str, str] = ("[question]", "[references]", "[images]")) -> DataFrame:
     """Question, numbered text references and the image paths above ``floor``.
 
-    ``hits(qid, rk, kind, content, score)``: top-k rows; ``content`` of an image is its path.
+    ``hits(qid, rk, kind, content, score)``: top-k rows; ``content`` of an image is its path. Images are numbered before those
+    without a path are left out.
     """
     packed = hits.groupBy(qid).agg(F.array_sort(F.collect_list(
         F.struct("rk", "kind", "content", "score"))).alias("h"))
     both = queries.join(packed, qid)
     refs = F.filter("h", lambda h: h["kind"] == "text")
-    images = F.filter("h", lambda h: (h["kind"] == "image") & (h["score"] > floor) & (F.trim(h["content"]) != ""))
+    images = F.filter("h", lambda h: (h["kind"] == "image") & (h["score"] > floor))
+    images = F.filter(F.transform(images, lambda h, i: F.struct((i + 1).alias("no"), F.trim(h["content"]).alias("path"))), lambda h: h["path"] != "")
     ref_text = F.array_join(F.transform(refs, lambda h, i: F.concat(
         F.lit("\nRef"), (i + 1).cast("string"), F.lit(": "), h["content"])), "\n")
-    image_text = F.array_join(F.transform(images, lambda h, i: F.concat(
-        F.lit("("), (i + 1).cast("string"), F.lit(") "), F.trim(h["content"]))), "\n")
+    image_text = F.array_join(F.transform(images, lambda h: F.concat(F.lit("("), h["no"].cast("string"), F.lit(") "), h["path"])), "\n")
     part = lambda head, body: F.concat(F.lit(head + "\n"), body, F.lit("\n"))
     return both.select(
         qid, F.concat_ws("\n", part(heads[0], F.col("text")),

@@ -27,14 +27,14 @@ def _reference(t):
 {REF}, got AS (SELECT DISTINCT qid, doc_id FROM hits),
 c AS (SELECT qid, count(*) AS n_ref, count(got.doc_id) AS n_hit FROM ref LEFT JOIN got USING (qid, doc_id) GROUP BY qid),
 ctx AS (SELECT qid, string_agg(content, chr(10) ORDER BY rk) AS context_str FROM hits JOIN n USING (doc_id, pos) GROUP BY qid)
-SELECT qid, n_ref, n_hit, round(n_hit / n_ref::DOUBLE, 6) AS recall, context_str FROM c JOIN ctx USING (qid)""")
+SELECT qid, n_ref, n_hit, round(n_hit / n_ref::DOUBLE, 6) AS recall, coalesce(context_str, '') AS context_str FROM c LEFT JOIN ctx USING (qid)""")
 def e1_context_recall(t):
     """Lines, BM25 top 3 per passage, context, and recall of the documents that hold the passage."""
     nodes = line_words(t)
     hits = bm25_search(nodes, passages(t), 3, KEYS).join(nodes.select(*KEYS, "content"), KEYS)
     ordered = F.array_sort(F.collect_list(F.struct("rk", "content"))).alias("o")
     context = hits.groupBy("qid").agg(ordered).select("qid", F.array_join("o.content", "\n").alias("context_str"))
-    return ev.context_recall(hits, _reference(t), "doc_id").join(context, "qid")
+    return ev.context_recall(hits, _reference(t), "doc_id").join(context, "qid", "left").fillna("", ["context_str"])
 
 
 @query("e1_recall_mean", BASE + bm25_cte(k=3) + f""",
@@ -53,13 +53,13 @@ SENT = "list_filter(list_transform(string_split_regex({0}, '[.\\n]'), lambda p:
 @query("e2_context_relevance", BASE + bm25_cte(k=3) + f""",
 rs AS (SELECT qid, unnest({SENT.format('content')}) AS s FROM hits JOIN n USING (doc_id, pos)),
 fs AS (SELECT DISTINCT qid, unnest({SENT.format('text')}) AS s FROM q)
-SELECT rs.qid, count(*)::BIGINT AS n_sentences, count(fs.s)::BIGINT AS n_related, round(count(fs.s) / count(*)::DOUBLE, 6) AS relevance
-FROM rs LEFT JOIN fs ON rs.qid = fs.qid AND rs.s = fs.s GROUP BY rs.qid""")
+SELECT q.qid, count(rs.s)::BIGINT AS n_sentences, count(fs.s)::BIGINT AS n_related, coalesce(round(count(fs.s) / nullif(count(rs.s), 0)::DOUBLE, 6), 0.0) AS relevance
+FROM q LEFT JOIN rs ON q.qid = rs.qid LEFT JOIN fs ON rs.qid = fs.qid AND rs.s = fs.s GROUP BY q.qid""")
 def e2_context_relevance(t):
     nodes = line_words(t)
     hits = bm25_search(nodes, passages(t), 3, KEYS).join(nodes.select(*KEYS, "content"), KEYS)
     sentences = lambda df, c: df.select("qid", F.explode(tx.pieces_by_pattern(F.col(c), "[.\n]")).alias("s"))
-    return ev.context_relevance(sentences(hits, "content"), sentences(passages(t), "text"), "s")
+    return ev.context_relevance(sentences(hits, "content"), sentences(passages(t), "text"), passages(t), "s")
 
 
 @query("e3_recall_flags", """SELECT count(*) FILTER (quality = 1 AND n_chars > 500) AS tp, count(*) FILTER (quality = 1 AND NOT n_chars > 500) AS fn,

@@ -8,6 +8,7 @@ from tessera.functions import text as tx
 from tessera.operators import communities as cm, graph as gr
 from tessera.operators.ranking import bm25_search
 from tessera.plans.common import KEYS, LINE_WORDS, PASSAGES, bm25_cte, line_words, passages
+from tessera.operators.graph_store import StoredGraph
 from tessera.operators.modularity import leveled_communities
 from tessera.plans.registry import query
 from tessera.session import cut
@@ -253,6 +254,20 @@ def g11_incremental(t):
     return gr.added_links(old, gr.links(chunks.filter("lang = 'fr'")))
 
 
+LEFT_R = BASE_R.replace("FROM documents))", "FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)))")
+
+
+@query("g11_changes", f"{LEFT_R}, {COMPONENTS} SELECT src, tgt, weight, comp AS component FROM rel JOIN cc ON node = src")
+def g11_changes(t):
+    """French chunks arrive later and toxic documents leave; relations and components equal those of what is left."""
+    links = gr.links(_chunks_df(t), ("lang",))
+    toxic = t.labels.filter("toxic = 1").select("doc_id")
+    graph = StoredGraph(t.spark)
+    graph.apply(links.filter("lang <> 'fr' or lang is null"))
+    graph.apply(links.filter("lang = 'fr'").join(toxic, "doc_id", "left_anti"), toxic)
+    return graph.relations().join(graph.roots().withColumnRenamed("node", "src"), "src").select("src", "tgt", "weight", "component")
+
+
 # ---- communities -------------------------------------------------------------------------------
 
 def _edges(t):

@@ -192,8 +192,8 @@ def r12_output_dict(t):
     return rt.dict_output(_hit_texts(t), ["doc_id", "pos", "content"]).select("qid", "rk", "output")
 
 
-@query("r13_context", HIT_TEXTS + """SELECT qid, c AS context_str, q.text AS query FROM (
-  SELECT qid, string_agg(content, chr(10) ORDER BY rk) AS c FROM ht GROUP BY qid) JOIN q USING (qid)""")
+@query("r13_context", HIT_TEXTS + """SELECT qid, coalesce(c, '') AS context_str, q.text AS query FROM q LEFT JOIN (
+  SELECT qid, string_agg(content, chr(10) ORDER BY rk) AS c FROM ht GROUP BY qid) USING (qid)""")
 def r13_context(t):
     return rt.context_record(_hit_texts(t), passages(t))
 

@@ -72,7 +72,7 @@ def test_recall_and_relevance(spark):
     got = spark.createDataFrame([(1, "a"), (1, "b")], "qid long, s string")
     ref = spark.createDataFrame([(1, "a"), (2, "z")], "qid long, s string")
     assert {r["qid"]: r["recall"] for r in ev.context_recall(got, ref, "s").collect()} == {1: 1.0, 2: 0.0}
-    assert ev.context_relevance(got, ref, "s").first()["relevance"] == 0.5
+    assert ev.context_relevance(got, ref, got, "s").first()["relevance"] == 0.5
 
 
 def test_faithfulness_and_flags(spark):
