@@ -9,6 +9,7 @@ from tessera.operators.search import block_search, vector_scorer
 from tessera.plans.common import MEANS, label_means, ranked, vector_nodes
 from tessera.plans.registry import query
 from tessera.sources import html as hx, readers as rd, stores as st
+from tessera.sources.collection import Collection
 from tessera.session import work_path
 
 STRIP = r"trim(regexp_replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '[ \t\n\r\f]+', ' ', 'g'))"
@@ -103,6 +104,19 @@ def s10_vector_collection(t):
     return block_search(space, label_means(t).withColumnRenamed("label", "qid"), vector_scorer("ip"), 3, ["vec_id"], ["vec"])
 
 
+@query("s10_collection", f"""WITH {MEANS}, sc AS (SELECT mv.label AS qid, vec_id, round(list_inner_product(vec, embedding::DOUBLE[]), 6) AS score FROM mv, embeddings WHERE embeddings.label IN (1, 2, 3))
+{ranked('sc', 3)}""")
+def s10_collection(t):
+    """Created, filled, dropped, created again and filled once more; the filter on the label reads only its files."""
+    rows = vector_nodes(t)
+    store = Collection(t.spark, work_path(t.spark, "collection"))
+    for _ in range(2):
+        store.create(rows.schema, 64, "label", drop_if_exists=True)
+        store.insert(rows)
+    space = store.rows().filter("label in (1, 2, 3)").select("vec_id", "vec")
+    return block_search(space, label_means(t).withColumnRenamed("label", "qid"), vector_scorer("ip"), 3, ["vec_id"], ["vec"])
+
+
 @query("s11_snapshot", """WITH d AS (SELECT DISTINCT text, min(CASE WHEN lang = 'en' THEN 0 ELSE 1 END) OVER (PARTITION BY text) AS run FROM documents)
 SELECT run::INTEGER AS run, count(*) AS n, sum(length(text))::BIGINT AS chars FROM d GROUP BY run""")
 def s11_snapshot(t):
