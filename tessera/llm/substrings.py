@@ -37,7 +37,7 @@ PREFIX = 32
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 CHUNK = 1 << 20  # bytes of text hashed at once
 BLOCK = 1 << 20  # bytes of pieces sorted at once
-BUCKET_BYTES = 32 << 20  # text per bucket
+BUCKET_BYTES = 8 << 20  # text per bucket
 # An anchor with more occurrences is dealt out suffix by suffix, so that its bucket stays small.
 HEAVY = 100_000
 LOW = np.uint64((1 << 24) - 1)
@@ -216,12 +216,12 @@ def _pieces(buckets: int):
                 for t, number in enumerate(numbers):
                     own = slice(bounds[t], bounds[t + 1])
                     want = wanted[number].values.to_numpy().view(np.uint64)
-                    big = heavy[number].values.to_numpy().view(np.uint64)
+                    big = set(heavy[number].values.to_numpy().view(np.uint64).tolist())
                     # a null key comes first
                     place = (int(key[number].is_valid), key[number].as_py() or 0, uid[number].as_py())
                     base = before - int(offsets[t])
-                    for i in np.flatnonzero(np.isin(h[own], want)) + bounds[t]:
-                        a, b, x, value = int(first[i]), int(end[i]), int(anchor[i]), int(h[i])
+                    hits = np.flatnonzero(np.isin(h[own], want)) + bounds[t]
+                    for a, b, x, value in zip(*(c[hits].tolist() for c in (first, end, anchor, h))):
                         if value in big:
                             for p in range(a, b):
                                 piece = raw[p:p + LENGTH]
@@ -232,7 +232,7 @@ def _pieces(buckets: int):
                             piece = raw[a:b + LENGTH - 1]
                             held.setdefault((value, x - a, piece), []).append((*place, a + base))
                             size += len(piece)
-                if size > 8 << 20:
+                if size > 16 << 20:
                     yield from flush()
                     held, size = {}, 0
         yield from flush()
@@ -374,13 +374,14 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     buckets = max(12, -(-total // BUCKET_BYTES))
     found = base.where(F.col("n_bytes") >= LENGTH)
     counted = found.select("uid", "body").mapInArrow(_count_anchors(buckets), PARTS_SQL)
-    repeated = cut(counted.groupBy("bucket").applyInArrow(_repeated, "uid bigint, anchor bigint"))
+    repeated = cut(counted.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_repeated, "uid bigint, anchor bigint"))
     heavy = repeated.where("uid is null").select("anchor", F.lit(True).alias("is_heavy"))
     wanted = repeated.where("uid is not null").join(heavy, "anchor", "left")
     wanted = wanted.groupBy("uid").agg(F.collect_set("anchor").alias("wanted"), F.collect_set(F.when(F.col("is_heavy"), F.col("anchor"))).alias("heavy"))
     # the hints keep the plan the same at every size
     pieces = found.select("uid", "key", "body").join(wanted.hint("merge"), "uid").mapInArrow(_pieces(buckets), PARTS_SQL)
-    later = pieces.groupBy("bucket").applyInArrow(_sorted_bucket, "uid bigint, start bigint, n bigint")
+    # a task per bucket, however many there are: tasks do not grow with the input
+    later = pieces.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_sorted_bucket, "uid bigint, start bigint, n bigint")
     # the two lists of a document stay aligned, as one list of pairs
     spans = later.groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     spans = spans.select("uid", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts"))
