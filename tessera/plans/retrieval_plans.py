@@ -9,6 +9,7 @@ from tessera.operators import retrieve as rt, tree, vectors as vc
 from tessera.operators.nodes import NodeTree
 from tessera.operators.ranking import bm25_search, char_search, jaccard_search, query_terms
 from tessera.operators.near_cache import NearResultCache
+from tessera.operators.projection import ProjectionIndex
 from tessera.operators.term_index import TermIndex
 from tessera.operators.search import block_search, vector_scorer
 from tessera.plans.common import (KEYS, LINE_WORDS, LINES, MEANS, PASSAGES, WORDS, bm25_cte, label_means, line_words,
@@ -257,6 +258,19 @@ def r17_partitioned_search(t):
     return vc.cell_search(vc.write_cells(nodes, model, ["vec_id"]), model, _means(t), 10, ["vec_id"], nprobe=4)
 
 
+@query("r17_projection_search", "SELECT DISTINCT label AS qid, 10 AS n, true AS recall_reached FROM embeddings WHERE label IS NOT NULL")
+def r17_projection_search(t):
+    """Random-projection buckets against the exact top 10: whether the mean recall over all queries reaches 0.8."""
+    nodes, queries = vector_nodes(t).select("vec_id", "vec"), _means(t)
+    index = ProjectionIndex(t.spark, ["vec_id"], tables=8, directions=2, length=0.1)
+    index.write(nodes)
+    exact = block_search(nodes, queries, vector_scorer("cosine"), 10, ["vec_id"], ["vec"]).select("qid", "vec_id")
+    found = cut(index.search(queries, 10).select("qid", "vec_id", F.lit(1).alias("hit")))
+    recall = exact.join(found, ["qid", "vec_id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+    per_query = found.groupBy("qid").agg(F.count("*").cast("int").alias("n"))
+    return per_query.withColumn("recall_reached", recall.scalar() >= 0.8)
+
+
 @query("r18_result_cache", BASE + bm25_cte(k=3) + """
 SELECT qid, doc_id, pos, score, rk FROM hits""")
 def r18_result_cache(t):
