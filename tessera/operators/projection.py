@@ -11,7 +11,7 @@ from itertools import product
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions.vector import cosine
 from tessera.operators.search import top_k
@@ -33,26 +33,26 @@ class ProjectionIndex:
         sound = rows.filter(F.col(vec).isNotNull() & F.exists(vec, lambda v: v != 0) & ~F.exists(vec, lambda v: v.isNull() | F.isnan(v)))
         return Normalizer(inputCol="_v", outputCol="_unit").transform(sound.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))).drop("_v")
 
-    def _places(self) -> list[list[Column]]:
-        """Per table the bucket number of every direction."""
+    def _placed(self, hashed: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep``, table and the bucket number of each of its directions, a row per table."""
         at = lambda i: vector_to_array(F.col("_h")[i])[0].cast("bigint")
-        return [[at(t * self.directions + d) for d in range(self.directions)] for t in range(self.tables)]
+        tables = [F.array(*[at(t * self.directions + d) for d in range(self.directions)]) for t in range(self.tables)]
+        return hashed.select(*keep, F.posexplode(F.array(*tables)).alias("table", "place"))
 
     def write(self, nodes: DataFrame, vec: str = "vec") -> None:
         """Store the nodes in their buckets; all vectors must have one length."""
         unit = self._unit(nodes.select(*self.keys, vec), vec)
         self.model = self.lsh.fit(unit)
-        hashed = self.model.transform(unit)
-        buckets = F.array(*[F.xxhash64(F.lit(t), *p) for t, p in enumerate(self._places())])
-        hashed.select(*self.keys, F.explode(buckets).alias("bucket")).write.parquet(f"{self.path}/buckets")
+        placed = self._placed(self.model.transform(unit), self.keys)
+        placed.select(*self.keys, F.xxhash64("table", "place").alias("bucket")).write.parquet(f"{self.path}/buckets")
         nodes.select(*self.keys, F.col(vec).alias("vec")).write.parquet(f"{self.path}/vectors")
 
     def search(self, queries: DataFrame, k: int, vec: str = "vec", qid: str = "qid") -> DataFrame:
         """qid, keys, score (cosine, six digits), rk of the best k found; ties by key."""
         hashed = self.model.transform(self._unit(queries.select(qid, vec), vec))
-        steps = list(product((0, -1, 1), repeat=self.directions))
-        probes = F.array(*[F.xxhash64(F.lit(t), *[c + s for c, s in zip(p, step)]) for t, p in enumerate(self._places()) for step in steps])
-        asked = hashed.select(qid, F.explode(F.array_distinct(probes)).alias("bucket"))
+        steps = F.array(*[F.array(*[F.lit(s).cast("bigint") for s in step]) for step in product((0, -1, 1), repeat=self.directions)])
+        around = self._placed(hashed, [qid]).select(qid, "table", "place", F.explode(steps).alias("step"))
+        asked = around.select(qid, F.xxhash64("table", F.zip_with("place", "step", lambda p, s: p + s)).alias("bucket"))
         met = asked.join(self.spark.read.parquet(f"{self.path}/buckets"), "bucket").select(qid, *self.keys).distinct()
         pairs = met.join(self.spark.read.parquet(f"{self.path}/vectors"), self.keys).join(queries.select(qid, F.col(vec).alias("_q")), qid)
         return top_k(pairs.select(qid, *self.keys, F.round(cosine(F.col("_q"), F.col("vec")), 6).alias("score")), [qid], k, self.keys)
