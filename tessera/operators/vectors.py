@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.functions import text as tx
-from tessera.operators.search import Scorer, block_search, vector_scorer, within_cells
+from tessera.operators.search import CELLS_PER_BLOCK, Scorer, block_search, vector_scorer, within_cells
 from tessera.session import work_path
 
 
@@ -79,13 +79,36 @@ def train_cells(nodes: DataFrame, cells: int, vec: str = "vec", seed: int = 7) -
     return KMeans(k=cells, seed=seed, maxIter=10).fit(points)
 
 
+def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Rows x centers, by one matrix product."""
+    return (x * x).sum(axis=1)[:, None] - 2 * (x @ centers.T) + (centers * centers).sum(axis=1)[None, :]
+
+
+def _slices(rows: int, width: int) -> Iterator[slice]:
+    """Runs of rows whose rows x width array stays small."""
+    step = max(1, CELLS_PER_BLOCK // max(1, width))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
+def nearest_of(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Number of the nearest center of every row, the smaller one at ties."""
+    out = np.empty(len(x), np.int64)
+    for part in _slices(len(x), len(centers)):
+        out[part] = squared_distances(x[part], centers).argmin(axis=1)
+    return out
+
+
 def nearest_centers(df: DataFrame, centers: np.ndarray, vec: str, n: int, out: str) -> DataFrame:
     """The ``n`` nearest centers (Euclidean) of every vector, nearest first."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def near(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
         x = np.stack(vectors.to_numpy()).astype(float)
-        d = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
-        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :n].astype(np.int32)))
+        rows = []
+        for part in _slices(len(x), len(centers)):
+            rows.extend(np.argsort(squared_distances(x[part], centers), axis=1, kind="stable")[:, :n].astype(np.int32))
+        return pd.Series(rows)
 
     return df.withColumn(out, near(vec))
 
@@ -139,8 +162,8 @@ def encode_codes(nodes: DataFrame, books: np.ndarray, keys: list[str], vec: str
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(vectors: pd.Series) -> pd.Series:
         x = np.stack(vectors.to_numpy()).astype(float).reshape(len(vectors), parts, width)
-        d = ((x[:, :, None, :] - books[None]) ** 2).sum(axis=3)
-        return pd.Series(list(d.argmin(axis=2).astype(np.int32)))
+        codes = [nearest_of(x[:, p], books[p]) for p in range(parts)]
+        return pd.Series(list(np.stack(codes, axis=1).astype(np.int32)))
 
     return nodes.select(*keys, encode(F.col(vec)).alias("codes"))
 

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx, vector as vx
 from tessera.operators import vectors as vc
+from tessera.operators.coded_cells import CodedCells
+from tessera.operators.search import block_search, vector_scorer
 from tessera.plans.common import MEANS, WORDS, label_means, lines, ranked, vector_nodes
 from tessera.plans.registry import query
+from tessera.session import cut
 
 
 @query("v1_embed")
@@ -66,6 +69,30 @@ def v6_product_quantisation(t):
     return vc.code_search(coded, nodes, queries, books, 10, ["vec_id"], survivors=100)
 
 
+def _coded(t):
+    """12 cells, six parts of 64 dimensions (widths 10 and 11), 64 codes each."""
+    index = CodedCells(t.spark, ["vec_id"], cells=12, parts=6, codes=64)
+    index.write(vector_nodes(t).select("vec_id", "vec"))
+    return index
+
+
+@query("v6_coded_rows", "SELECT vec_id, 6 AS code_bytes FROM embeddings WHERE list_inner_product(embedding, embedding) > 0")
+def v6_coded_rows(t):
+    """Every vector is stored once, in six bytes."""
+    return _coded(t).rows().select("vec_id", F.octet_length("code").alias("code_bytes"))
+
+
+@query("v6_coded_cells", "SELECT DISTINCT label AS qid, 10 AS n, true AS recall_reached FROM embeddings WHERE label IS NOT NULL")
+def v6_coded_cells(t):
+    """Six of twelve cells, 200 survivors by code, against the exact top 10: whether the mean recall over all queries reaches 0.8."""
+    queries = label_means(t).withColumnRenamed("label", "qid")
+    found = cut(_coded(t).search(queries, 10, nprobe=6, survivors=200).select("qid", "vec_id", F.lit(1).alias("hit")))
+    exact = block_search(vector_nodes(t), queries, vector_scorer("cosine"), 10, ["vec_id"], ["vec"]).select("qid", "vec_id")
+    recall = exact.join(found, ["qid", "vec_id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0)))).scalar()
+    per_query = found.groupBy("qid").agg(F.count("*").cast("int").alias("n"))
+    return per_query.withColumn("recall_reached", F.coalesce(recall, F.lit(0.0)) >= 0.8)
+
+
 @query("v7_inverted_file", f"""WITH {MEANS}, sc AS (SELECT mv.label AS qid, vec_id, round(list_cosine_similarity(vec, embedding::DOUBLE[]), 6) AS score FROM mv, embeddings)
 {ranked('sc', 10)}""")
 def v7_inverted_file(t):
