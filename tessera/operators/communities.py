@@ -68,6 +68,19 @@ def communities(edges: DataFrame, rounds: int) -> DataFrame:
     return cut(level0.unionByName(level1))
 
 
+def community_relations(members: DataFrame, relations: DataFrame) -> DataFrame:
+    """``level, community, src, tgt``: the relations with both ends in one community, a row each."""
+    at = lambda c: members.select(F.col("node").alias(c), "level", F.col("community").alias(f"{c}_c"))
+    inside = relations.select("src", "tgt").join(at("src"), "src").join(at("tgt"), ["tgt", "level"]).filter("src_c = tgt_c")
+    return inside.select("level", F.col("src_c").alias("community"), "src", "tgt")
+
+
+def community_chunks(members: DataFrame, mentions: DataFrame) -> DataFrame:
+    """``level, community, doc_id, pos, n``: the chunks that name a member, with the number of members named."""
+    named = mentions.select("name", "doc_id", "pos").distinct().join(members.withColumnRenamed("node", "name"), "name")
+    return named.groupBy("level", "community", "doc_id", "pos").agg(F.count("*").alias("n"))
+
+
 def community_table(members: DataFrame, relations: DataFrame, mentions: DataFrame, degree: DataFrame, top: int) -> DataFrame:
     """Sizes and a summary (top entities by degree) per level and community.
 
@@ -77,11 +90,8 @@ def community_table(members: DataFrame, relations: DataFrame, mentions: DataFram
 
     key = ["level", "community"]
     size = members.groupBy(*key).agg(F.count("*").alias("n_entities"))
-    at = lambda c: members.select(F.col("node").alias(c), "level", F.col("community").alias(f"{c}_c"))
-    inside = relations.join(at("src"), "src").join(at("tgt"), ["tgt", "level"]).filter("src_c = tgt_c")
-    n_relations = inside.groupBy("level", F.col("src_c").alias("community")).agg(F.count("*").alias("n_relations"))
-    chunks = (mentions.join(members.withColumnRenamed("node", "name"), "name").groupBy(*key, "doc_id", "pos").count()
-              .groupBy(*key).agg(F.count("*").alias("n_chunks")))
+    n_relations = community_relations(members, relations).groupBy(*key).agg(F.count("*").alias("n_relations"))
+    chunks = community_chunks(members, mentions).groupBy(*key).agg(F.count("*").alias("n_chunks"))
     ranked = top_k(members.withColumnRenamed("node", "name").join(degree, "name"), key, top, ["name"], score="degree")
     names = F.array_sort(F.collect_list(F.struct("rk", "name"))).alias("s")
     summary = ranked.groupBy(*key).agg(names).select(*key, F.array_join("s.name", " ").alias("summary"))

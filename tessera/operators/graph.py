@@ -98,6 +98,15 @@ def merged_relations(rows: DataFrame) -> DataFrame:
     return weight.join(words, ["src", "tgt"]).join(chunks, ["src", "tgt"])
 
 
+def relation_values(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """United keywords or chunk ids of every relation: ``src, tgt, columns, n``, a row per distinct value, with its number of links.
+
+    Links without a value give no row.
+    """
+    given = rows.dropna(subset=columns, how="all")
+    return given.groupBy("src", "tgt", *columns).agg(F.count("*").alias("n"))
+
+
 def degrees(relations: DataFrame) -> DataFrame:
     ends = relations.select(F.explode(F.array("src", "tgt")).alias("name"))
     return ends.groupBy("name").agg(F.count("*").alias("degree"))

@@ -96,6 +96,13 @@ def d9_accepted(t):
     return _attempts(t).groupBy("l_linenumber", "ok").agg(F.count("*").alias("n"))
 
 
+@query("d9_rows", f"WITH {BOXES}, {THOUGHT} SELECT l_orderkey, l_linenumber, output, CASE WHEN ok THEN 'accepted' ELSE 'retry' END AS part FROM ok")
+def d9_rows(t):
+    """Every attempt, in the accepted part or in the one to try again."""
+    part = F.when(F.col("ok"), "accepted").otherwise("retry")
+    return _attempts(t).select("l_orderkey", "l_linenumber", "output", part.alias("part"))
+
+
 @query("d10_rounds", f"""WITH {BOXES}, {THOUGHT}, f AS (SELECT l_orderkey, min(l_linenumber) AS l_linenumber, list_first(list(output ORDER BY l_linenumber, output)) AS output FROM ok WHERE ok AND l_linenumber <= 15 GROUP BY l_orderkey)
 SELECT l_orderkey, l_linenumber, output, 'kept' AS part FROM f UNION ALL SELECT DISTINCT l_orderkey, NULL::INTEGER, NULL, 'left over' FROM ok WHERE l_orderkey NOT IN (SELECT l_orderkey FROM f)""")
 def d10_rounds(t):
@@ -119,6 +126,12 @@ def d12_oversample(t):
     return mixed.groupBy("origin", "part").agg(F.count("*").alias("n"))
 
 
+@query("d12_copies", "SELECT conv_id, turn, role, unnest(range(1, 121))::INTEGER AS copy FROM conversations")
+def d12_copies(t):
+    """All 120 copies of every turn."""
+    return ds.oversampled(t.conversations.select("conv_id", "turn", "role"), 120)
+
+
 @query("d13_prompt", """SELECT doc_id, 'System: answer in ' || lang || chr(10) || 'Context from ' || source || ':' || chr(10) || text || chr(10) || 'Question: what is told?' AS prompt FROM documents""")
 def d13_prompt(t):
     template = F.lit("System: answer in {lang}\nContext from {source}:\n{text}\nQuestion: {question}")

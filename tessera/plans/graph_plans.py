@@ -172,6 +172,16 @@ def g4_relations(t):
     return gr.merged_relations(rows)
 
 
+@query("g4_keywords", f"{BASE} SELECT src, tgt, lang AS keyword, count(*) AS n FROM lk WHERE lang IS NOT NULL GROUP BY ALL")
+def g4_keywords(t):
+    return gr.relation_values(_links(t).withColumnRenamed("lang", "keyword"), ["keyword"])
+
+
+@query("g4_chunks", f"{BASE} SELECT src, tgt, doc_id, pos, count(*) AS n FROM lk GROUP BY ALL")
+def g4_chunks(t):
+    return gr.relation_values(_links(t), gr.CHUNK)
+
+
 @query("g5_degrees", f"{BASE} SELECT name, degree FROM deg")
 def g5_degrees(t):
     return gr.degrees(_relations(t))
@@ -303,6 +313,19 @@ def g13_community_table(t):
     return _table(t)
 
 
+@query("g13_relations", f"""{BASE_R}, {MEMBERS} SELECT a.level, a.community, src, tgt FROM rel JOIN mem a ON src = a.node
+JOIN mem b ON tgt = b.node AND a.level = b.level AND a.community = b.community WHERE src <> tgt""")
+def g13_relations(t):
+    edges = cut(_edges(t))
+    return cm.community_relations(cm.communities(edges, ROUNDS), edges)
+
+
+@query("g13_chunks", f"""{BASE_R}, {MEMBERS} SELECT level, community, doc_id, pos, count(DISTINCT name) AS n FROM mem JOIN mt ON node = name GROUP BY ALL""")
+def g13_chunks(t):
+    g = _Stored(t)
+    return cm.community_chunks(cm.communities(g.edges(), ROUNDS), g.mentions)
+
+
 @query("g14_global_search", f"""{BASE_R}, {TABLE}, cn AS (SELECT community, string_split(lower(summary), ' ') AS words FROM ct WHERE level = 1),
 {bm25_cte(n='cn', keys='community', k=5)} SELECT qid, community, score, rk FROM hits""")
 def g14_global_search(t):

@@ -127,6 +127,16 @@ def s11_snapshot(t):
     return rows.groupBy("run").agg(F.count("*").alias("n"), F.sum("value").alias("chars"))
 
 
+@query("s12_files", r"""WITH p AS (SELECT DISTINCT url, trim(coalesce(html, ''), ' ') AS text FROM pages WHERE url <> ''),
+s AS (SELECT *, regexp_replace(url, '[/\\]', '_', 'g')[:100] AS safe FROM p)
+SELECT safe || CASE WHEN count(*) OVER (PARTITION BY safe) > 1 THEN '-' || sha256(url || chr(10) || text)[:16] ELSE '' END AS name, text FROM s""")
+def s12_files(t):
+    """Pages written as one file a name, and read again."""
+    path = work_path(t.spark, "named")
+    st.write_named_texts(t.pages, "url", "html", path)
+    return st.read_named_texts(t.spark, path).withColumnRenamed("value", "text")
+
+
 @query("s12_named_texts", r"""SELECT page_id, regexp_replace(url, '[/\\]', '_', 'g') AS name, trim(html) AS text FROM pages""")
 def s12_named_texts(t):
     return t.pages.select("page_id", st.safe_name(F.col("url")).alias("name"), F.trim("html").alias("text"))

@@ -27,10 +27,32 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, r"[/\\]", "_")
 
 
+NAME_CHARS = 100  # longer names are cut
+
+
+def named_texts(df: DataFrame, name: str, text: str) -> DataFrame:
+    """``name, value``: a safe file name and its trimmed text, a row per file.
+
+    Where several would get one name (``a/b`` and ``a_b``, or one name with two texts), all of these end in sixteen digits of the hash of
+    name and text. Equal rows are one file, a null text is an empty one; rows with a null or empty name are left out.
+    """
+    rows = df.select(F.col(name).alias("_name"), F.trim(F.coalesce(text, F.lit(""))).alias("value")).filter("_name <> ''").distinct()
+    safe = rows.withColumn("name", F.substring(safe_name(F.col("_name")), 1, NAME_CHARS))
+    several = safe.groupBy("name").count().filter("count > 1").select("name", F.lit(True).alias("_several"))
+    digits = F.substring(F.sha2(F.concat("_name", F.lit("\n"), "value"), 256), 1, 16)
+    whole = F.when(F.col("_several"), F.concat("name", F.lit("-"), digits)).otherwise(F.col("name"))
+    return safe.join(several, "name", "left").select(whole.alias("name"), "value")
+
+
 def write_named_texts(df: DataFrame, name: str, text: str, path: str) -> None:
-    """One text file per name, below ``name=<safe name>``."""
-    out = df.select(safe_name(F.col(name)).alias("name"), F.trim(F.col(text)).alias("value"))
-    out.write.partitionBy("name").text(path)
+    """One text file per name (see ``named_texts``), below ``name=<safe name>``; a newline ends it."""
+    named_texts(df, name, text).write.partitionBy("name").text(path)
+
+
+def read_named_texts(spark: SparkSession, path: str) -> DataFrame:
+    """``name, value`` of what ``write_named_texts`` wrote, whole texts without the last newline."""
+    files = spark.read.schema("value string, name string").text(path, wholetext=True)
+    return files.select("name", F.regexp_replace("value", r"\n\z", "").alias("value"))
 
 
 def kb_files(contexts: DataFrame, text: str = "text", per_file: int = 10) -> DataFrame:
