@@ -13,10 +13,14 @@ from tessera.operators.search import top_k
 
 
 def term_idf(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
-    """``term, idf`` with ``ln(N / df)``; distinct words per node are counted map-side."""
+    """``term, idf`` with ``ln(N / df)``; distinct words per node are counted map-side.
+
+    The counted terms are dealt out once more: AQE splits a hot term of a join only where both sides come straight from a shuffle of the
+    join, not from an aggregate on top of one.
+    """
     df = nodes.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n = nodes.agg(F.count("*").alias("n")).scalar()
-    return df.select("term", F.log(n / F.col("df")).alias("idf"))
+    return df.select("term", F.log(n / F.col("df")).alias("idf")).hint("rebalance")
 
 
 def keywords(nodes: DataFrame, keys: list[str], n: int, words: str = "words") -> DataFrame:

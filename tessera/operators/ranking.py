@@ -14,18 +14,27 @@ def query_terms(queries: DataFrame, words: str = "words", qid: str = "qid") -> D
     return queries.select(qid, F.explode(F.array_distinct(words)).alias("term"))
 
 
-def corpus_stats(nodes: DataFrame, terms: DataFrame, words: str = "words") -> DataFrame:
+MAX_TERMS = 1_000_000  # distinct query terms, and at most 64 MB of them, that travel to all executors
+MAX_TERM_BYTES = 64 << 20
+
+
+def corpus_stats(nodes: DataFrame, terms: DataFrame, words: str = "words", max_terms: int = MAX_TERMS) -> DataFrame:
     """``term, df, total`` for the given terms in one pass over the nodes.
 
-    Each node also emits the empty term once, so that row holds the number of nodes and of
-    words. Counts are combined map-side; a term of a third of all rows is one row per task.
+    Each node also emits the empty term once, so that row holds the number of nodes and of words. Up to ``max_terms`` terms (checked) are
+    broadcast, and only their occurrences are counted. Beyond that all terms are counted and the given ones kept afterwards. Both ways
+    count map-side before anything is shuffled, so a term of a third of all rows is one row per task.
     """
-    wanted = terms.select("term").distinct().unionByName(
-        nodes.sparkSession.range(1).select(F.lit("").alias("term")))
+    wanted = terms.select("term").distinct()
+    size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("b")).first()
+    small = size["n"] <= max_terms and size["b"] <= MAX_TERM_BYTES
+    wanted = wanted.unionByName(nodes.sparkSession.range(1).select(F.lit("").alias("term")))
     marked = nodes.select(F.size(words).alias("n"), F.explode(
         F.array_append(F.array_distinct(words), F.lit(""))).alias("term"))
-    return (marked.join(wanted, "term", "left_semi").groupBy("term")
-            .agg(F.count("*").alias("df"), F.sum("n").alias("total")))
+    if small:
+        marked = marked.join(F.broadcast(wanted), "term", "left_semi")
+    counted = marked.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("total"))
+    return counted if small else counted.join(wanted, "term", "left_semi")
 
 
 def weighted(terms: DataFrame, stats: DataFrame, idf, qid: str = "qid") -> DataFrame:
