@@ -17,8 +17,7 @@ STRIP = r"trim(regexp_replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '[ \t\n\
 
 @query("s1_scan", "SELECT doc_id, 'documents.parquet' AS file, length(text) AS chars FROM documents")
 def s1_scan(t):
-    scan = t.spark.read.option("pathGlobFilter", "documents.parquet").parquet(t.folder)
-    return scan.select("doc_id", F.col("_metadata.file_name").alias("file"), F.length("text").cast("bigint").alias("chars"))
+    return rd.scan_table(t.spark, t.folder, "documents.parquet").select("doc_id", "file", F.length("text").cast("bigint").alias("chars"))
 
 
 @query("s2_reader_rules", f"""SELECT page_id, CASE WHEN url LIKE '%/fr/%' THEN 'local' WHEN url LIKE 'http://%' THEN 'plain' WHEN url LIKE 'https://%' THEN 'title' END AS reader,

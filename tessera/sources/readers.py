@@ -34,6 +34,12 @@ def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
+def scan_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The rows of the Parquet table ``name`` in ``folder``, one file or a folder of files, with the ``file`` of the folder they come from."""
+    entry = F.regexp_extract("_metadata.file_path", rf"^.*/(\Q{name}\E)(?:/|$)", 1)
+    return spark.read.parquet(f"{folder}/{name}").select("*", entry.alias("file"))
+
+
 @dataclass(frozen=True)
 class _Rule:
     glob: str
