@@ -15,8 +15,11 @@ from tessera.session import work_path
 from tessera.streaming import live
 
 
-def _stream(t, name):
-    return live.file_stream(t.spark, t.folder, f"{name}.parquet")
+BATCH = 1 << 30  # stored bytes of a micro-batch where the order of batches does not matter
+
+
+def _stream(t, name, bytes_per_batch=None):
+    return live.table_stream(t.spark, f"{t.folder}/{name}.parquet", bytes_per_batch)
 
 
 def _line_nodes(docs):
@@ -27,8 +30,8 @@ def _line_nodes(docs):
 def x1_live_index(t):
     """Documents come twice; the second time replaces the first."""
     index = live.LiveIndex(t.spark, _line_nodes)
-    live.run_now(_stream(t, "documents"), index.take, work_path(t.spark, "cp")).awaitTermination()
-    live.run_now(_stream(t, "documents"), lambda d, b: index.take(d, b + 1000), work_path(t.spark, "cp")).awaitTermination()
+    live.run_now(_stream(t, "documents", BATCH), index.take, work_path(t.spark, "cp")).awaitTermination()
+    live.run_now(_stream(t, "documents", BATCH), lambda d, b: index.take(d, b + 1000), work_path(t.spark, "cp")).awaitTermination()
     return index.nodes().select(*KEYS, "content")
 
 
@@ -112,6 +115,6 @@ def x4_expired_lives(t):
 SELECT doc_id, array_to_string(list_transform(b, lambda x, i: x || repeat('*', length(h[i]))), '') AS text FROM m""")
 def x5_masked_stream(t):
     out, cp = work_path(t.spark, "masked"), work_path(t.spark, "cp")
-    stream = live.masked_stream(_stream(t, "documents").select("doc_id", "text"), "text", LISTED)
+    stream = live.masked_stream(_stream(t, "documents", BATCH).select("doc_id", "text"), "text", LISTED)
     stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out).awaitTermination()
     return t.spark.read.parquet(out)

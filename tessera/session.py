@@ -48,6 +48,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()
+
+
 def bounded_rows(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows`` of them, else None.
 

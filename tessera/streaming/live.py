@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tessera.functions.masking import masked
 from tessera.operators.term_index import TermIndex
-from tessera.session import cut, exists, work_path
+from tessera.session import cut, exists, is_folder, work_path
 
 
 def run_now(df: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -19,6 +19,20 @@ def run_now(df: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpo
             .trigger(availableNow=True).start())
 
 
+def table_stream(spark: SparkSession, path: str, bytes_per_batch: int | None = None) -> DataFrame:
+    """A Parquet table, one file or a folder of files, as a stream.
+
+    Without ``bytes_per_batch`` all files that wait make one micro-batch, so rows that belong together meet whatever files they lie in.
+    """
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if bytes_per_batch:
+        stream = stream.option("maxBytesPerTrigger", bytes_per_batch)
+    if is_folder(spark, path):
+        return stream.parquet(path)
+    folder, name = path.rsplit("/", 1)  # a stream watches folders only
+    return stream.option("pathGlobFilter", name).parquet(folder)
+
+
 def file_stream(spark: SparkSession, path: str, glob: str, files_per_batch: int = 1) -> DataFrame:
     """Parquet files of one pattern as a stream; the schema comes from the files there now."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(path).schema
@@ -40,14 +54,26 @@ class LiveIndex:
     def take(self, docs: DataFrame, batch_id: int) -> None:
         rest = [c for c in docs.columns if c != "doc_id"]
         rest.sort(key=lambda c: c != "version")
-        fresh = docs.groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("f")).select("doc_id", "f.*")
+        # only documents that come several times in the batch are shuffled with their texts
+        several = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
+        best = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("f")).select("doc_id", "f.*")
+        fresh = docs.select(*best.columns).join(several, "doc_id", "left_anti").unionByName(best)
         self.nodes_of(fresh).write.mode("overwrite").parquet(f"{self.path}/nodes/batch={batch_id}")
         fresh.select("doc_id").write.mode("overwrite").parquet(f"{self.path}/docs/batch={batch_id}")
 
     def nodes(self) -> DataFrame:
         """The nodes of every document's last batch."""
-        last = self.spark.read.parquet(f"{self.path}/docs").groupBy("doc_id").agg(F.max("batch").alias("batch"))
-        return self.spark.read.parquet(f"{self.path}/nodes").join(last, ["doc_id", "batch"], "left_semi").drop("batch")
+        docs = self.spark.read.parquet(f"{self.path}/docs").filter("doc_id is not null")
+        last = docs.groupBy("doc_id").agg(F.max("batch").alias("batch"))
+        sizes = docs.groupBy("batch").agg(F.countDistinct("doc_id").alias("n")).join(last.groupBy("batch").agg(F.count("*").alias("live")), "batch")
+        whole, part = [], []  # a batch is read as it is, joined with its live documents, or not at all
+        for row in sizes.collect():
+            (whole if row.n == row.live else part).append(row.batch)
+        nodes = self.spark.read.parquet(f"{self.path}/nodes").filter("doc_id is not null")
+        kept = nodes.filter(F.col("batch").isin(whole))
+        if part:
+            kept = kept.unionByName(nodes.filter(F.col("batch").isin(part)).join(last, ["doc_id", "batch"], "left_semi").select(*nodes.columns))
+        return kept.drop("batch")
 
 
 class LiveTermIndex:
