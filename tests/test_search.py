@@ -144,3 +144,15 @@ def test_rare_and_frequent_words_agree(spark):
     for key, words in queries:
         scored = sorted((-round(sum(w.count(t) for t in set(words)) / len(w), 6), i) for i, w in nodes)
         assert got[key] == [(i, -s) for s, i in scored[:3]]
+
+
+def test_many_queries_are_not_repeated_with_the_nodes(spark):
+    """Blocks of queries come one after the other; equal and null query ids may lie in any of them."""
+    rng = random.Random(11)
+    nodes = spark.createDataFrame([(i, [rng.random() for _ in range(4)]) for i in range(300)], "id bigint, vec array<double>").repartition(5)
+    rows = [(i % 9 if i % 10 else None, [rng.random() for _ in range(4)]) for i in range(40)]
+    queries = spark.createDataFrame(rows, "qid bigint, vec array<double>")
+    found = [block_search(nodes, queries, vector_scorer("ip"), 3, ["id"], ["vec"], max_queries=m) for m in (100, 7)]
+    assert "CoGroups" not in found[1]._jdf.queryExecution().executedPlan().toString()
+    once, many = (sorted(tuple(r) for r in f.fillna({"qid": -1}).collect()) for f in found)
+    assert once == many and len(once) == 30
