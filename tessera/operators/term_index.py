@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions.text import word_counts
 from tessera.operators.ranking import query_terms
-from tessera.operators.search import top_k
+from tessera.operators.search import block_search, term_scorer
 from tessera.session import cut, exists, work_path
 
 SHELF_NODES = 128  # nodes whose postings of a term make one block
@@ -184,15 +184,23 @@ class TermIndex:
         weights = cut(terms.join(df, "term").select(qid, "bucket", "term", idf.alias("w")))
         average = max(total, 1) / max(n, 1)
         part = lambda tf, dl: F.col("w") * tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * dl / average))
-        bounds = cut(weights.join(blocks.select("bucket", "term", "seg", "shelf", "top_tf", "least_dl"), ["bucket", "term"])
+        # a shelf's blocks meet once, whatever the number of queries; the sums over their terms need no second shuffle
+        known = weights.select("bucket", "term").distinct()
+        small = blocks.select("bucket", "term", "seg", "shelf", "top_tf", "least_dl").join(known, ["bucket", "term"], "left_semi")
+        bounds = cut(small.repartition("seg", "shelf").join(weights.drop("bucket"), "term")
                      .groupBy(qid, "seg", "shelf").agg(F.sum(part(F.col("top_tf"), F.col("least_dl"))).alias("bound")))
+        pair = F.struct("term", "w").alias("p")
+        asked = cut(weights.groupBy(qid).agg(F.array_sort(F.collect_list(pair)).alias("p")).select(qid, F.col("p.term").alias("terms"), F.col("p.w").alias("weights")))
+        scorer = term_scorer("bm25", words="terms", counts="tfs", length="dl", k1=self.k1, b=self.b, avgdl=average)
 
         def scored(shelves: DataFrame) -> DataFrame:
-            named = shelves.select(qid, "seg", "shelf").join(weights, qid)
-            rows = named.join(blocks.select("bucket", "term", "seg", "shelf", "entries"), ["bucket", "term", "seg", "shelf"])
-            rows = rows.select(qid, "seg", "w", F.inline("entries"))
-            sums = rows.groupBy(qid, "seg", *self.keys).agg(F.round(F.sum(part(F.col("tf"), F.col("dl"))), 6).alias("score"))
-            return top_k(self._alive(sums, names).drop("seg"), [qid], k, self.keys)
+            """Top k among the nodes of the shelves: their postings meet once, and a task scores its nodes for all queries."""
+            named = cut(shelves.select("seg", "shelf").distinct())
+            rows = blocks.select("bucket", "term", "seg", "shelf", "entries").join(known, ["bucket", "term"], "left_semi")
+            rows = rows.join(named, ["seg", "shelf"], "left_semi").select("seg", "term", F.inline("entries"))
+            counted = rows.groupBy("seg", *self.keys, "dl").agg(F.collect_list(F.struct("term", "tf")).alias("t"))
+            nodes = self._alive(counted, names).select(*self.keys, "dl", F.col("t.term").alias("terms"), F.col("t.tf").alias("tfs"))
+            return block_search(nodes, asked, scorer, k, self.keys, ["dl", "terms", "tfs"], qid)
 
         first = bounds.groupBy(qid, F.pmod(F.xxhash64("seg", "shelf"), F.lit(FIRST)).alias("_part")).agg(F.max(F.struct("bound", "seg", "shelf")).alias("s"))
         floor = scored(first.select(qid, "s.seg", "s.shelf")).filter(F.col("rk") == k).select(qid, F.col("score").alias("_floor"))

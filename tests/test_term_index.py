@@ -1,6 +1,7 @@
 """Stored inverted index: equal to a search over the live nodes, through segments, retries and compaction."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,13 @@ def test_only_term_hashes_of_the_query_are_read(spark):
     assert "bucket#" in plan and f" {bucket})" in plan.split("PartitionFilters")[1]
 
 
+def test_postings_meet_once_for_all_queries(spark, queries):
+    index = TermIndex(spark, buckets=4, shelf_nodes=8)
+    index.commit(1, spark.createDataFrame(some_nodes(1, range(30)), SCHEMA))
+    plan = index.search(queries, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not re.search(r"hashpartitioning\(qid#\d+, seg#", plan)
+
+
 def test_edges(spark, queries):
     index = TermIndex(spark, buckets=2)
     assert index.search(queries, 3).count() == 0
