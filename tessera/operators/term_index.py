@@ -98,11 +98,16 @@ class TermIndex:
         fresh = ranged.groupBy(*self.keys).agg(list_of.alias("w")).select(*self.keys, F.size("w").alias("dl"), word_counts(F.col("w")).alias("terms"))
         stored = self._write_nodes(name, fresh)
         old = self._alive(self._table("nodes", names), names)
-        dead = old.join(stored.select(*self.keys), self.keys, "left_semi")
+        ids = old.select(*self.keys, "seg")  # terms of dead nodes only are fetched afterwards
+        dead = ids.join(stored.select(*self.keys), self.keys, "left_semi")
         if removed is not None:
             by = [c for c in self.keys if c in removed.columns]
-            dead = dead.unionByName(old.join(removed.select(*by), by, "left_semi")).dropDuplicates([*self.keys, "seg"])
-        dead = cut(dead.select(*self.keys, "dl", "terms"))
+            dead = dead.unionByName(ids.join(removed.select(*by), by, "left_semi"))
+        lost = cut(dead.distinct().select(*[F.col(c).alias(f"_{c}") for c in ids.columns]))
+        same = F.lit(True)
+        for c in ids.columns:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        dead = cut(old.join(lost, same, "left_semi").select(*self.keys, "dl", "terms"))
         dead.select(*self.keys).write.mode("overwrite").parquet(f"{self.path}/gone/seg={name}")
         minus = dead.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
         minus.withColumn("bucket", self._bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/minus/seg={name}")

@@ -50,6 +50,7 @@ def x1_live_changes(t):
     feed = live.LiveTermIndex(t.spark, index, nodes_of, most_segments=2)
     changes = live.file_stream(t.spark, source, "*.parquet", files_per_batch=2)
     live.run_now(changes, feed.take, work_path(t.spark, "cp")).awaitTermination()
+    index.vacuum()  # no search has begun yet
     return index.search(passages(t), 5)
 
 

@@ -40,6 +40,15 @@ def file_stream(spark: SparkSession, path: str, glob: str, files_per_batch: int
             .option("maxFilesPerTrigger", files_per_batch).parquet(path))
 
 
+def newest(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The largest row by the columns ``order`` of every document; only documents with several rows are shuffled with their texts."""
+    counts = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    several = cut(counts.filter("n > 1").select(F.col("doc_id").alias("_several")))
+    same = F.col("doc_id").eqNullSafe(F.col("_several"))
+    best = rows.join(several, same, "left_semi").groupBy("doc_id").agg(F.max(F.struct(*order)).alias("f")).select("doc_id", "f.*")
+    return rows.select("doc_id", *order).join(several, same, "left_anti").unionByName(best)
+
+
 class LiveIndex:
     """Nodes of arriving documents, one folder per batch.
 
@@ -54,10 +63,7 @@ class LiveIndex:
     def take(self, docs: DataFrame, batch_id: int) -> None:
         rest = [c for c in docs.columns if c != "doc_id"]
         rest.sort(key=lambda c: c != "version")
-        # only documents that come several times in the batch are shuffled with their texts
-        several = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
-        best = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("f")).select("doc_id", "f.*")
-        fresh = docs.select(*best.columns).join(several, "doc_id", "left_anti").unionByName(best)
+        fresh = newest(docs, rest)
         self.nodes_of(fresh).write.mode("overwrite").parquet(f"{self.path}/nodes/batch={batch_id}")
         fresh.select("doc_id").write.mode("overwrite").parquet(f"{self.path}/docs/batch={batch_id}")
 
@@ -102,9 +108,9 @@ class LiveTermIndex:
             return
         names = [r.seg for r in live]
         rest = [c for c in changes.columns if c not in ("doc_id", "version", "op")]
-        newest = changes.groupBy("doc_id").agg(F.max(F.struct("version", "op", *rest)).alias("c")).select("doc_id", "c.*")
+        latest = newest(changes, ["version", "op", *rest])
         known = self.versions(names).withColumnRenamed("version", "_known")
-        fresh = cut(newest.join(known, "doc_id", "left").filter("_known is null or version > _known").drop("_known"))
+        fresh = cut(latest.join(known, "doc_id", "left").filter("_known is null or version > _known").drop("_known"))
         fresh.select("doc_id", "version").write.mode("overwrite").parquet(f"{self.index.path}/versions/seg={self.index.segment_name(batch_id)}")
         self.index.commit(batch_id, self.nodes_of(fresh.filter("op = 'put'")), fresh.select("doc_id"))
         live = self.index.live()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.operators.nodes import explode_nodes
 from tessera.plans.all_plans import QUERIES
-from tessera.streaming.live import LiveIndex
+from tessera.streaming.live import LiveIndex, newest
 
 
 def folder_of(spark, tmp_path, name, parts, schema):
@@ -59,3 +59,10 @@ def test_a_session_in_several_files(spark, tmp_path):
     parts = [[(1, 2, "ccc"), (2, 1, "z")], [(1, 0, "a"), (1, 1, "bb")], [(2, 0, "yy")]]
     folder = folder_of(spark, tmp_path, "conversations", parts, "conv_id bigint, turn bigint, text string")
     assert rows_of(QUERIES["x3_session_state"](spark, folder)) == [(1, 0, 0, 0), (1, 1, 1, 1), (1, 2, 2, 3), (2, 0, 0, 0), (2, 1, 1, 2)]
+
+
+def test_newest_rows(spark):
+    """Null ids are one document; documents with one row do not meet the others."""
+    rows = [(1, 1, "a"), (2, 1, "b"), (2, 3, "c"), (2, 3, "d"), (None, 1, "e"), (None, 2, "f"), (3, None, None)]
+    got = newest(spark.createDataFrame(rows, "doc_id bigint, version bigint, text string"), ["version", "text"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 1, "a"), (2, 3, "d"), (None, 2, "f"), (3, None, None)], key=str)
