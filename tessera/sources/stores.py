@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.operators.order import dense_ids
-from tessera.session import exists, work_path
+from tessera.session import exists, spread, work_path
+from tessera.sources.collection import _place
 
 
 def load_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -44,15 +51,65 @@ def named_texts(df: DataFrame, name: str, text: str) -> DataFrame:
     return safe.join(several, "name", "left").select(whole.alias("name"), "value")
 
 
+FILE_LIST = "_files"  # Spark's readers pass over names that begin so
+READ_BYTES = 16 << 20  # of texts held before they are handed on
+SPECIAL = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")  # what Spark escapes in the folders of a partition
+
+
+def _folder(name: str) -> str:
+    return "name=" + SPECIAL.sub(lambda m: f"%{ord(m[0]):02X}", name)
+
+
 def write_named_texts(df: DataFrame, name: str, text: str, path: str) -> None:
-    """One text file per name (see ``named_texts``), below ``name=<safe name>``; a newline ends it."""
-    named_texts(df, name, text).write.partitionBy("name").text(path)
+    """One text file per name (see ``named_texts``), below ``name=<safe name>``; a newline ends it.
+
+    Tasks write the files in place, so nothing is moved or listed by the driver. A file is called by the hash of its text: an attempt that
+    is repeated writes the same files, and each appears whole. The list of names and files, a table, is done last and marks the whole as written.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _place(path)
+        for batch in batches:
+            names, written = batch.column("name").to_pylist(), []
+            for at, value in zip(names, batch.column("value").to_pylist()):
+                file = f"{_folder(at)}/part-{hashlib.sha256(value).hexdigest()[:32]}.txt"
+                aside = f"{root}/{_folder(at)}/.{uuid.uuid4().hex}.part"
+                files.create_dir(f"{root}/{_folder(at)}", recursive=True)
+                with files.open_output_stream(aside) as f:
+                    f.write(value + b"\n")
+                files.move(aside, f"{root}/{file}")
+                written.append(file)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(written, pa.string())], ["name", "file"])
+
+    rows = named_texts(df, name, text).select("name", F.col("value").cast("binary").alias("value"))
+    rows.mapInArrow(task, "name string, file string").write.parquet(f"{path}/{FILE_LIST}")
 
 
 def read_named_texts(spark: SparkSession, path: str) -> DataFrame:
-    """``name, value`` of what ``write_named_texts`` wrote, whole texts without the last newline."""
-    files = spark.read.schema("value string, name string").text(path, wholetext=True)
-    return files.select("name", F.regexp_replace("value", r"\n\z", "").alias("value"))
+    """``name, value`` of what ``write_named_texts`` wrote, whole texts without the last newline.
+
+    Every file is read; which there are is a table of its own, so no folder is listed.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _place(path)
+        for batch in batches:
+            names, values, held = [], [], 0
+            for at, file in zip(batch.column("name").to_pylist(), batch.column("file").to_pylist()):
+                with files.open_input_stream(f"{root}/{file}") as f:
+                    value = f.read()
+                names.append(at)
+                values.append(value.removesuffix(b"\n"))
+                held += len(value)
+                if held >= READ_BYTES:
+                    yield _texts(names, values)
+                    names, values, held = [], [], 0
+            yield _texts(names, values)
+
+    listed = spread(spark.read.schema("name string, file string").parquet(f"{path}/{FILE_LIST}"), "name")
+    return listed.mapInArrow(task, "name string, value binary").select("name", F.col("value").cast("string").alias("value"))
+
+
+def _texts(names: list[str], values: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.binary())], ["name", "value"])
 
 
 def kb_files(contexts: DataFrame, text: str = "text", per_file: int = 10) -> DataFrame:
