@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.functions import text as tx
 from tessera.operators.search import CELLS_PER_BLOCK, Scorer, block_search, vector_scorer, within_cells
+from tessera.operators.term_groups import idf_of, term_groups, terms_with_idf
 from tessera.session import work_path
 
 
@@ -66,10 +67,8 @@ def missing_vectors(nodes: DataFrame, stored: DataFrame, text: str = "content")
 
 def sparse_vectors(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
     """Exploded TF-IDF rows ``keys, term, tf, w`` with idf ``ln(N / df)``."""
-    tf = nodes.select(*keys, F.inline(tx.word_counts(F.col(words))))
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).hint("rebalance")  # see keywords.term_idf
-    n = nodes.agg(F.count("*").alias("n")).scalar()
-    return tf.join(df, "term").select(*keys, "term", "tf", (F.col("tf") * F.log(n / F.col("df"))).alias("w"))
+    groups = term_groups(nodes, keys, words)
+    return terms_with_idf(groups, idf_of(groups, nodes)).select(*keys, "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 # ---- inverted file -----------------------------------------------------------------------------
