@@ -8,8 +8,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tessera.functions import text as tx
 from tessera.operators.search import top_k
+from tessera.operators.term_groups import idf_of, term_groups, terms_with_idf
 
 
 def term_idf(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
@@ -25,8 +25,8 @@ def term_idf(nodes: DataFrame, keys: list[str], words: str = "words") -> DataFra
 
 def keywords(nodes: DataFrame, keys: list[str], n: int, words: str = "words") -> DataFrame:
     """The ``n`` terms with the highest tf-idf per node, ties in order of the term."""
-    tf = nodes.select(*keys, F.inline(tx.word_counts(F.col(words))))
-    scored = tf.join(term_idf(nodes, keys, words), "term").select(
+    groups = term_groups(nodes, keys, words)
+    scored = terms_with_idf(groups, idf_of(groups, nodes)).select(
         *keys, "term", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     return top_k(scored, keys, n, ["term"])
 
@@ -36,9 +36,8 @@ def summaries(docs: DataFrame, sentences: DataFrame, n: int, key: str = "doc_id"
 
     ``docs(key, words)`` gives the statistics, ``sentences(key, pos, content, words)`` the choice.
     """
-    idf = term_idf(docs, [key])
-    counted = sentences.select(key, "pos", F.inline(tx.word_counts(F.col("words"))))
-    scored = (counted.join(idf, "term").groupBy(key, "pos")
+    counted = term_groups(sentences, [key, "pos"])
+    scored = (terms_with_idf(counted, term_idf(docs, [key])).groupBy(key, "pos")
               .agg(F.round(F.sum(F.col("tf") * F.col("idf")) / F.sum("tf"), 6).alias("score")))
     best = top_k(scored, [key], n, ["pos"]).select(key, "pos").join(sentences.select(key, "pos", "content"), [key, "pos"])
     ordered = F.array_sort(F.collect_list(F.struct("pos", "content"))).alias("s")
