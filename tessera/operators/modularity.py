@@ -51,19 +51,27 @@ class Graph:
         loops = inner.unionByName(own).groupBy("node").agg(F.sum("loop").alias("loop"))
         return Graph(moved.filter("src <> tgt"), loops)
 
-    def votes(self, labels: DataFrame) -> DataFrame:
-        """node, c, kin: the weight of a node's links into each neighbouring community."""
-        return (self.links.join(labels.withColumnRenamed("node", "tgt"), "tgt").groupBy(F.col("src").alias("node"), "c").agg(F.sum("w").alias("kin")))
-
-    def scored(self, labels: DataFrame, votes: DataFrame) -> DataFrame:
-        """What a node gains from being in each neighbouring community, its own included."""
-        state = self.nodes.join(labels.withColumnRenamed("c", "own"), "node")
-        totals = state.groupBy(F.col("own").alias("c")).agg(F.sum("k").alias("total"))
-        own = state.select("node", F.col("own").alias("c"), F.lit(0.0).alias("kin"))
-        options = votes.unionByName(own).groupBy("node", "c").agg(F.sum("kin").alias("kin"))
-        rows = options.join(state, "node").join(totals, "c")
-        others = F.col("total") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(0.0)
-        return cut(rows.withColumn("gain", F.round(F.col("kin") - F.col("k") * others / F.lit(self.ends), 9)))
+    def best(self, labels: DataFrame) -> DataFrame:
+        """``node, c, gain, stay, kin, k, total``, a row per node: the neighbouring community that gains most (of equal ones the smallest), what
+        staying gains, and for the own community the weight of the links into it and its total.
+
+        Votes bring their community's total along and the own community votes with nothing, so links are summed per (node, community)
+        once and those sums meet their node once; only a row per node is written.
+        """
+        state = self.nodes.join(labels, "node")
+        totals = state.groupBy("c").agg(F.sum("k").alias("total"))
+        known = cut(state.join(totals, "c").select("node", "c", "k", "total"))
+        near = self.links.join(known.select(F.col("node").alias("tgt"), "c", "total"), "tgt").select(F.col("src").alias("node"), "c", "total", "w")
+        votes = near.unionByName(known.select("node", "c", "total", F.lit(0.0).alias("w")))
+        options = votes.groupBy("node", "c").agg(F.sum("w").alias("kin"), F.first("total").alias("total"))
+        rows = options.join(known.select("node", F.col("c").alias("own"), "k"), "node")
+        at_home = F.col("c") == F.col("own")
+        others = F.col("total") - F.when(at_home, F.col("k")).otherwise(0.0)
+        rows = rows.withColumn("gain", F.round(F.col("kin") - F.col("k") * others / F.lit(self.ends), 9))
+        mine = lambda c: F.max(F.when(at_home, F.col(c))).alias(c)
+        first = F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("first")
+        found = rows.groupBy("node").agg(first, F.max(F.when(at_home, F.col("gain"))).alias("stay"), mine("kin"), F.max("k").alias("k"), mine("total"))
+        return cut(found.select("node", "first.c", (-F.col("first.loss")).alias("gain"), "stay", "kin", "k", "total"))
 
     def quality(self, labels: DataFrame) -> float:
         """Modularity of ``labels(node, c)``."""
@@ -77,26 +85,24 @@ class Graph:
     def apart(self, wishes: DataFrame, salt: int) -> DataFrame:
         """Of ``wishes(node, c)`` those that no linked node's wish of smaller hash forbids."""
         wishes = cut(wishes.withColumn("p", F.xxhash64("node", F.lit(salt))))
-        at = lambda c: wishes.select(F.col("node").alias(c), F.col("p").alias(f"{c}_p"))
-        both = self.links.join(at("src"), "src").join(at("tgt"), "tgt")
-        blocked = both.filter("tgt_p < src_p or (tgt_p = src_p and tgt < src)").select(F.col("src").alias("node")).distinct()
-        return wishes.join(blocked, "node", "left_anti").select("node", F.col("c").alias("to"))
+        rival = self.links.join(wishes.select(F.col("node").alias("tgt"), "p"), "tgt").select(F.col("src").alias("node"), F.struct("p", F.col("tgt").alias("node")).alias("r"))
+        first = rival.groupBy("node").agg(F.min("r").alias("r"))  # the smallest wish next to a node, combined before the shuffle
+        free = wishes.join(first, "node", "left").filter("r is null or not (r.p < p or (r.p = p and r.node < node))")
+        return free.select("node", F.col("c").alias("to"))
 
 
-def _wishes(scored: DataFrame) -> DataFrame:
-    """The best community of every node that gains by leaving; of equal ones the smallest."""
-    best = F.min(F.struct((-F.col("gain")).alias("loss"), "c")).alias("best")
-    stay = F.max(F.when(F.col("c") == F.col("own"), F.col("gain"))).alias("stay")
-    return scored.groupBy("node").agg(best, stay).filter(F.col("best.loss") < -F.col("stay") - EPS).select("node", "best.c")
+def _wishes(best: DataFrame) -> DataFrame:
+    """The best community of every node that gains by leaving."""
+    return best.filter(F.col("gain") > F.col("stay") + EPS).select("node", "c")
 
 
 def moved(graph: Graph, labels: DataFrame, rounds: int) -> DataFrame:
     """Local moves until nobody gains, modularity stops rising, or ``rounds`` are over."""
     before, quality = None, None
     for r in range(rounds + 1):
-        rows = graph.scored(labels, graph.votes(labels))
-        # every node's row for its own community gives the modularity: the sum of k times total is that of the totals' squares
-        own = rows.filter("c = own").agg(F.sum("kin"), F.sum(F.col("k") * F.col("total"))).first()
+        rows = graph.best(labels)
+        # every node's own community gives the modularity: the sum of k times total is that of the totals' squares
+        own = rows.agg(F.sum("kin"), F.sum(F.col("k") * F.col("total"))).first()
         now = (own[0] or 0.0) / graph.ends - (own[1] or 0.0) / graph.ends ** 2 if graph.ends else 0.0
         if before is not None and now <= quality + 1e-12:  # nodes apart from each other may still crowd one community
             return before
@@ -135,7 +141,7 @@ def refined(graph: Graph, labels: DataFrame, rounds: int = 2) -> DataFrame:
     parts = labels.select("node", F.col("node").alias("c"))
     for r in range(rounds):
         alone = parts.groupBy("c").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").select("node")
-        wishes = _wishes(inside.scored(parts, inside.votes(parts))).join(alone.join(fit, "node"), "node", "left_semi")
+        wishes = _wishes(inside.best(parts)).join(alone.join(fit, "node"), "node", "left_semi")
         moves = cut(inside.apart(wishes, 1000 + r))
         if moves.isEmpty():
             break
