@@ -1,7 +1,7 @@
 """Stored inverted index with segments, and BM25 search that skips what cannot reach the top k.
 
-A commit writes one segment: its nodes in key order, cut into shelves of neighbouring nodes; a block of postings per term and
-shelf, stored by a hash of the term, with the largest count and the shortest node in it; and the nodes it removes. Segments are
+A commit writes one segment: its nodes, in key order within a file, cut into shelves of neighbouring nodes; a block of postings per term
+and shelf, made by the task that reads the shelf (a shelf that two tasks read has two), stored by a hash of the term, with the largest count and the shortest node in it; and the nodes it removes. Segments are
 never changed. The one-row ``meta`` entry is written last and makes a segment count, so a failed or repeated commit
 changes nothing. ``compact`` writes all live nodes as a new base segment; older segments stay readable until ``vacuum``.
 
@@ -11,6 +11,11 @@ query; the best shelves give the k-th score so far, and only shelves whose bound
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions.text import word_counts
@@ -19,7 +24,8 @@ from tessera.operators.search import block_search, term_scorer
 from tessera.session import cut, exists, work_path
 
 SHELF_NODES = 128  # nodes whose postings of a term make one block
-FILE_NODES = 4_000_000  # nodes whose postings of a term hash make one file
+FILE_NODES = 10_000  # nodes whose postings of a term hash make one file at least, if there are so many
+MAX_GONE = 1_000_000  # removed nodes whose keys travel to all executors (checked)
 FIRST = 4  # shelves per query that give the first k-th score
 SLACK = 2e-6  # scores are rounded to six digits
 META = "seg string, seq bigint, nodes bigint, words bigint"
@@ -73,7 +79,24 @@ class TermIndex:
         condition = self._seq() < F.col("_gone")
         for s in same:
             condition = condition & s
-        return rows.join(gone, condition, "left_anti")
+        return rows.join(self._sent(gone, self._table("gone", live)), condition, "left_anti")
+
+    @staticmethod
+    def _sent(keys: DataFrame, of: DataFrame) -> DataFrame:
+        """``keys``, sent to all executors if the table ``of`` that they are from has few rows; nodes with their terms are not shuffled then."""
+        return F.broadcast(keys) if of.count() <= MAX_GONE else keys
+
+    @staticmethod
+    def _unique(added: DataFrame, keys: list[str], words: str) -> DataFrame:
+        """The largest word list of every key; only keys that come several times are shuffled with their words."""
+        several = cut(added.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*[F.col(c).alias(f"_{c}") for c in keys]))
+        if several.isEmpty():
+            return added.select(*keys, words)
+        same = F.lit(True)
+        for c in keys:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        best = added.join(several, same, "left_semi").groupBy(*keys).agg(F.max(words).alias(words))
+        return added.select(*keys, words).join(several, same, "left_anti").unionByName(best)
 
     def nodes(self) -> DataFrame:
         """All live nodes: keys, dl, terms."""
@@ -92,10 +115,8 @@ class TermIndex:
         names, name = [r.seg for r in live], self.segment_name(seq)
         if added is None:
             added = self.spark.createDataFrame([], f"{self.key_schema}, {words} array<string>")
-        list_of = F.coalesce(F.max(words), F.expr("cast(array() as array<string>)"))
-        cores = self.spark.sparkContext.defaultParallelism
-        ranged = added.select(*self.keys, words).repartitionByRange(max(cores, len(added.inputFiles())), *self.keys)
-        fresh = ranged.groupBy(*self.keys).agg(list_of.alias("w")).select(*self.keys, F.size("w").alias("dl"), word_counts(F.col("w")).alias("terms"))
+        list_of = F.coalesce(F.col(words), F.expr("cast(array() as array<string>)")).alias("w")
+        fresh = self._unique(added, self.keys, words).select(*self.keys, list_of).select(*self.keys, F.size("w").alias("dl"), word_counts(F.col("w")).alias("terms"))
         stored = self._write_nodes(name, fresh)
         old = self._alive(self._table("nodes", names), names)
         ids = old.select(*self.keys, "seg")  # terms of dead nodes only are fetched afterwards
@@ -107,7 +128,7 @@ class TermIndex:
         same = F.lit(True)
         for c in ids.columns:
             same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        dead = cut(old.join(lost, same, "left_semi").select(*self.keys, "dl", "terms"))
+        dead = cut(old.join(self._sent(lost, lost), same, "left_semi").select(*self.keys, "dl", "terms"))
         dead.select(*self.keys).write.mode("overwrite").parquet(f"{self.path}/gone/seg={name}")
         minus = dead.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
         minus.withColumn("bucket", self._bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/minus/seg={name}")
@@ -115,24 +136,20 @@ class TermIndex:
         self._finish(name, seq, stored, dead)
 
     def _write_nodes(self, name: str, fresh: DataFrame) -> DataFrame:
-        """Store nodes in key order with the number of their shelf."""
+        """Store nodes, in key order within a task, with the number of their shelf."""
         at = F.monotonically_increasing_id()
         shelf = F.shiftleft(F.shiftright(at, 33), 33) + F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / self.shelf_nodes).cast("bigint")
         ordered = fresh.sortWithinPartitions(*self.keys).withColumn("shelf", shelf)
         where = f"{self.path}/nodes/seg={name}"
-        ordered.select(*self.keys, "shelf", "dl", "terms").write.mode("overwrite").parquet(where)
+        ordered.select(*self.keys, "shelf", "dl", "terms").write.mode("overwrite").option("compression", "zstd").parquet(where)
         return self._table("nodes", [name])
 
     def _write_blocks(self, name: str, stored: DataFrame) -> None:
-        entry = F.struct(*self.keys, "tf", "dl")
-        postings = stored.select(*self.keys, "shelf", "dl", F.inline("terms")).withColumn("bucket", self._bucket())
-        files = stored.count() // FILE_NODES + 1
-        # one file per term hash and share of the shelves; postings of a block meet there, with no second shuffle
-        dealt = postings.withColumn("file", F.pmod(F.xxhash64("shelf"), F.lit(files))).repartition("bucket", "file")
-        blocks = dealt.groupBy("bucket", "file", "term", "shelf").agg(
-            F.array_sort(F.collect_list(entry)).alias("entries"), F.count("*").alias("n"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
-        blocks = blocks.drop("file").sortWithinPartitions("bucket", "term", "shelf")
-        blocks.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/blocks/seg={name}")
+        tasks = max(1, stored.count() // FILE_NODES)
+        schema = ", ".join(c for c in self.schemas["blocks"].split(", ") if not c.startswith(("seg ", "bucket ")))
+        blocks = stored.select(*self.keys, "shelf", "dl", "terms").coalesce(tasks).mapInArrow(_shelf_blocks(self.keys), schema)
+        blocks = blocks.withColumn("bucket", self._bucket()).sortWithinPartitions("bucket", "term", "shelf")
+        blocks.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/blocks/seg={name}")
 
     def _finish(self, name: str, seq: int, stored: DataFrame, dead: DataFrame | None) -> None:
         size = lambda df: df.agg(F.count("*").alias("nodes"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words")).first()
@@ -156,8 +173,7 @@ class TermIndex:
         if len(live) < 2:
             return
         name, seq = self.base_name(live), live[-1].seq
-        cores = self.spark.sparkContext.defaultParallelism
-        stored = self._write_nodes(name, self.nodes().repartitionByRange(cores, *self.keys))
+        stored = self._write_nodes(name, self.nodes())
         self._write_blocks(name, stored)
         self._finish(name, seq, stored, None)
 
@@ -212,3 +228,30 @@ class TermIndex:
         self.open = bounds.join(floor, qid, "left").filter("_floor is null or bound >= _floor - " + str(SLACK))
         self.bounds = bounds
         return scored(cut(self.open))
+
+
+def _shelf_blocks(keys: list[str]):
+    """Per batch of nodes a block for every term and shelf; nothing is shuffled."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = pa.Table.from_batches([batch]).combine_chunks()
+            terms = nodes["terms"].combine_chunks()
+            node = pa.array(np.repeat(np.arange(len(terms)), pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)))
+            if not len(node):
+                continue
+            flat = terms.flatten()
+            rows = nodes.select([*keys, "shelf", "dl"]).take(node).append_column("tf", flat.field("tf")).append_column("term", flat.field("term"))
+            rows = rows.sort_by([(c, "ascending") for c in ("term", "shelf", *keys)]).combine_chunks()
+            code, shelf = rows["term"].combine_chunks().dictionary_encode().indices.to_numpy(), rows["shelf"].to_numpy()
+            start = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (shelf[1:] != shelf[:-1])]))
+            size = np.diff(np.append(start, len(code)))
+            parts = {c: rows[c].combine_chunks() for c in (*keys, "tf", "dl")}
+            entries = pa.ListArray.from_arrays(pa.array(np.append(start, len(code)), pa.int32()), pa.StructArray.from_arrays(list(parts.values()), list(parts)))
+            at = pa.array(start)
+            yield pa.RecordBatch.from_arrays(
+                [rows["term"].combine_chunks().take(at), rows["shelf"].combine_chunks().take(at), entries, pa.array(size, pa.int64()),
+                 pa.array(np.maximum.reduceat(parts["tf"].to_numpy(), start), pa.int64()), pa.array(np.minimum.reduceat(parts["dl"].to_numpy(), start), pa.int32())],
+                ["term", "shelf", "entries", "n", "top_tf", "least_dl"])
+
+    return task
